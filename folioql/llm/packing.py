@@ -62,7 +62,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS,
 def _arrow(df: DataFrame, column: str) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return to_arrow_type(df.schema[column].dataType, timezone="UTC")
+    return to_arrow_type(df.schema[column].dataType)
 
 
 def best_fit(lengths: np.ndarray, max_tokens: int, max_documents: int, max_attention: int, weights=WEIGHTS, rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, for sessions started without it on their workers' path."""
+    context = spark.sparkContext
+    if not getattr(context, "_folioql_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        at = Path(tempfile.mkdtemp(prefix="folioql-")) / "folioql.zip"
+        with zipfile.ZipFile(at, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        context.addPyFile(str(at))
+        context._folioql_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table by name; the path is only handed to Spark's reader."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -61,3 +77,15 @@ def crc32_text(column: Column | str) -> Column:
 def batches_of(batch, *names: str):
     """Python lists of the named columns of an Arrow record batch."""
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """`names`, lengthened where a column of `df` has them already (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

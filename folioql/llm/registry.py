@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioql.llm import dedup, oracle, packing, tokens
+from folioql.llm import dedup, langid, oracle, packing, sharding, tokens, warc
 from folioql.llm._common import table
 
 
@@ -15,6 +15,14 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +35,12 @@ def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    return langid.identify(docs, model).withColumn("held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

@@ -18,3 +18,33 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f
 """
+
+
+def _license_sql() -> str:
+    from folioql.llm.licenses import PHRASES, TEMPLATES, WORD, template_words
+
+    listed = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    templates = " UNION ALL ".join(f"SELECT '{label}' AS label, {listed(ws)} AS ws" for label, ws in template_words(TEMPLATES).items())
+    places = []
+    for label, phrase in PHRASES.items():
+        ws = phrase.split()
+        match = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(ws))
+        places.append(f"list_transform(list_filter(range(len(w)), lambda i: {match}), lambda i: struct_pack(at := i, label := '{label}'))")
+    return f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+w AS (SELECT doc_id, body, regexp_extract_all(body, '{WORD}') AS w FROM d),
+p AS (SELECT doc_id, body, len(w) AS n_words, list_concat({", ".join(places[:2])}, list_concat({", ".join(places[2:])})) AS p FROM w),
+t AS ({templates}),
+l AS (SELECT doc_id, regexp_extract_all(unnest(string_split(body, chr(10))), '{WORD}') AS ws FROM d),
+m AS (SELECT l.doc_id, t.label, len(list_intersect(t.ws, l.ws)) / len(t.ws) AS c FROM l, t WHERE len(list_intersect(t.ws, l.ws)) >= ceil(0.8 * len(t.ws) - 1e-9)),
+h AS (SELECT doc_id, list(DISTINCT label) AS found, max(c) AS best FROM m GROUP BY doc_id)
+SELECT p.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base,
+       CAST(list_min(list_transform(p, lambda x: x.at)) AS BIGINT) AS first_word, CAST(list_max(list_transform(p, lambda x: x.at)) AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(list_distinct(list_transform(p, lambda x: x.label))), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(list_transform(p, lambda x: x.label), coalesce(found, [])))), ','), '') AS labels,
+       CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM p LEFT JOIN h USING (doc_id)
+"""
+
+
+SQL["op5_license_scan"] = _license_sql()

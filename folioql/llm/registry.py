@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioql.llm import dedup, langid, oracle, packing, sharding, tokens, warc
+from folioql.llm import dedup, langid, licenses, matroska, oracle, packing, sharding, tokens, warc
 from folioql.llm._common import table
 
 
@@ -31,10 +31,18 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op9_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.media_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, ~langid.held_out())

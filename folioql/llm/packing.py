@@ -37,7 +37,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS,
     """Documents as pieces of at most `max_tokens` ids: id, piece, start, length, ids_crc32 (and ids)."""
 
     def run(batches):
-        own = encoder(vocabulary)
+        own = encoder(vocabulary, shown=False)
         tail = int(separator).to_bytes(4, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -16,6 +16,7 @@ does.  Repeated rows give repeated rows; columns other than the id and the text
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -26,7 +27,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from pyspark.sql import functions as F
 
 from folioql.llm._common import batches_of
 
-#: Distinct strings a worker remembers before it starts afresh, and the longest it remembers.
-MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
+#: Distinct chunks a worker remembers (half as many with their decoded text); the longest it remembers.
+MEMO_ENTRIES, MEMO_CHARS = 1_200_000, 64
 #: Words of at most so many bytes are merged side by side in numpy.
 LOCKSTEP = 32
 #: A task reports a word to the lexicon count once it has seen it this often.
@@ -88,8 +89,8 @@ class WordBpe:
         ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         return tuple(self._merge_short(ids) if len(ids) <= 96 else self._merge_long(ids))
 
-    def merge_many(self, words: list[str]) -> list[tuple[int, ...]]:
-        """`merge` of many words: those of up to LOCKSTEP bytes advance together, one merge a step."""
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """`merge` of many words, as packed ids: those of up to LOCKSTEP bytes advance together, one merge a step."""
         raws = [w.encode("utf-8") for w in words]
         lengths = np.fromiter(map(len, raws), np.int64, len(raws))
         out: list = [None] * len(raws)
@@ -98,9 +99,9 @@ class WordBpe:
                 if len(at):
                     for k, ids in zip(at.tolist(), self._lockstep([raws[k] for k in at], lengths[at], high)):
                         out[k] = ids
-        return [self.merge(w) if o is None else o for o, w in zip(out, words)]
+        return [np.array(self.merge(w), "<u4").tobytes() if o is None else o for o, w in zip(out, words)]
 
-    def _lockstep(self, raws: list[bytes], lengths: np.ndarray, width: int) -> list[tuple[int, ...]]:
+    def _lockstep(self, raws: list[bytes], lengths: np.ndarray, width: int) -> list[bytes]:
         if not hasattr(self, "pair_keys"):
             pairs = sorted((a << 32 | b, r, c) for (a, b), (r, c) in self.merges.items())
             self.pair_keys, self.pair_ranks, self.pair_new = (np.array(x, np.int64) for x in zip(*pairs))
@@ -143,8 +144,10 @@ class WordBpe:
             has = best > 0
             r, b = rows[has], best[has] - 1
             ranks[r, b], new[r, b] = look(ids[r, b], merged[has])
-        sizes = (ids >= 0).sum(axis=1).tolist()
-        return [tuple(x[:k]) for x, k in zip(ids.tolist(), sizes)]
+        kept = ids >= 0
+        flat = ids[kept].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _merge_short(self, ids: list[int]) -> list[int]:
         get, none = self.merges.get, (1 << 60, 0)
@@ -201,7 +204,7 @@ def chunks_of(text: str) -> list[str]:
 # --- the transducer ---------------------------------------------------------------------------
 
 
-def build_transducer(entries: dict[bytes, tuple[int, ...]]) -> bytes:
+def build_transducer(entries: dict[bytes, bytes]) -> bytes:
     """A minimal acyclic automaton over the keys, with the id sequences it points to, as one byte string."""
     words = sorted(w for w in entries if w)
     register: dict[tuple, int] = {}
@@ -242,9 +245,9 @@ def build_transducer(entries: dict[bytes, tuple[int, ...]]) -> bytes:
             targets.append(target)
             skips.append(passed)
             passed += counts[target]
-    flat = [i for w in words for i in entries[w]]
-    starts = np.cumsum([0, *(len(entries[w]) for w in words)])
-    parts = [np.array(keys, "<i8"), np.array(targets, "<i4"), np.array(skips, "<i4"), np.array(finals, "<u1"), starts.astype("<i4"), np.array(flat, "<u4")]
+    flat = np.frombuffer(b"".join([entries[w] for w in words]), "<u4")
+    starts = np.cumsum([0, *(len(entries[w]) // 4 for w in words)])
+    parts = [np.array(keys, "<i8"), np.array(targets, "<i4"), np.array(skips, "<i4"), np.array(finals, "<u1"), starts.astype("<i4"), flat]
     header = struct.pack("<7q", root, *(p.nbytes for p in parts))
     return header + b"".join(p.tobytes() for p in parts)
 
@@ -290,34 +293,49 @@ class Transducer:
             step += 1
         return number
 
-    def ids(self, number: int) -> tuple[int, ...]:
-        return tuple(self.flat[self.starts[number] : self.starts[number + 1]].tolist())
+    def ids(self, number: int) -> bytes:
+        return self.flat[self.starts[number] : self.starts[number + 1]].tobytes()
 
 
 # --- encoding ---------------------------------------------------------------------------------
 
 
 class Encoder:
-    """Text to ids through a memo of chunks, the transducer, and exact merges, in this order."""
+    """Text to ids through a memo of chunks, the transducer, and exact merges, in this order.
 
-    def __init__(self, path: str, lexicon: bytes | None = None):
+    The memo keeps the chunks that came first, for frequent ones come early; when it is full the later half goes.
+    """
+
+    def __init__(self, path: str, lexicon: bytes | None = None, shown: bool = True):
         self.bpe = WordBpe(path)
         self.lexicon = Transducer(lexicon) if lexicon else None
-        self.memo: dict[str, tuple[bytes, str]] = {}
-
-    def learn(self, fresh: set[str]) -> None:
-        """Fill the memo for chunks that it does not hold."""
-        order = list(fresh)
-        parts = [self.bpe.split(c) for c in order]
-        unseen = list({w for p in parts for w in p if isinstance(w, str)})
-        found = self.lexicon.find([w.encode("utf-8") for w in unseen]).tolist() if self.lexicon else [-1] * len(unseen)
-        words = {w: self.lexicon.ids(number) for w, number in zip(unseen, found) if number >= 0}
-        rest = [w for w, number in zip(unseen, found) if number < 0]
-        words.update(zip(rest, self.bpe.merge_many(rest)))
-        token_of = self.bpe.token_of
-        for chunk, p in zip(order, parts):
-            ids = [i for w in p for i in ((w,) if isinstance(w, int) else words[w])]
-            self.memo[chunk] = struct.pack(f"<{len(ids)}I", *ids), " ".join([token_of[i] for i in ids])
+        self.shown, self.most = shown, MEMO_ENTRIES // (2 if shown else 1)
+        self.memo: dict[str, bytes | tuple[bytes, str]] = {}
+
+    def learn(self, fresh: set[str]) -> dict[str, bytes | tuple[bytes, str]]:
+        """Entries for chunks that the memo does not hold."""
+        single, several, split = {}, {}, self.bpe.split
+        for c in fresh:
+            if c.isalpha() and c.isascii():
+                single[c] = c.lower()
+            else:
+                several[c] = split(c)
+        unseen = list({*single.values(), *(w for p in several.values() for w in p if isinstance(w, str))})
+        if self.lexicon:
+            found = self.lexicon.find([w.encode("utf-8") for w in unseen]).tolist()
+            words = {w: self.lexicon.ids(number) for w, number in zip(unseen, found) if number >= 0}
+            unseen = [w for w, number in zip(unseen, found) if number < 0]
+        else:
+            words = {}
+        words.update(zip(unseen, self.bpe.merge_many(unseen)))
+        out: dict = {c: words[w] for c, w in single.items()}
+        for c, p in several.items():
+            out[c] = b"".join([words[w] if isinstance(w, str) else struct.pack("<I", w) for w in p])
+        if self.shown:
+            token_of = self.bpe.token_of
+            for c, ids in out.items():
+                out[c] = ids, " ".join([token_of[i] for i in memoryview(ids).cast("I")])
+        return out
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and what they decode to."""
@@ -326,21 +344,26 @@ class Encoder:
                 yield b"".join([e[0] for e in got]), " ".join([e[1] for e in got])
 
     def ids_batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids alone."""
+        """The ids alone (of an encoder made with shown=False)."""
         for group in groups_of(texts):
             for got in self.lookup(group):
-                yield b"".join([e[0] for e in got])
+                yield b"".join(got)
 
     def lookup(self, group: list[list[str]]) -> list[list]:
-        """The memo's entries of lists of chunks."""
+        """The entries of lists of chunks."""
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and the collector would walk the memo again and again
         got = [list(map(self.memo.get, chunks)) for chunks in group]
         short = [k for k, g in enumerate(got) if None in g]
         if short:
-            self.learn({c for k in short for c, e in zip(group[k], got[k]) if e is None})
+            new = self.learn({c for k in short for c, e in zip(group[k], got[k]) if e is None})
             for k in short:
-                got[k] = [self.memo[c] if e is None else e for c, e in zip(group[k], got[k])]
-        if len(self.memo) > MEMO_ENTRIES:  # what this group used stays, and with it what is frequent
-            self.memo = {c: e for chunks, g in zip(group, got) for c, e in zip(chunks, g) if len(c) <= MEMO_CHARS}
+                got[k] = [new[c] if e is None else e for c, e in zip(group[k], got[k])]
+            if len(self.memo) + len(new) > self.most:
+                self.memo = dict(islice(self.memo.items(), self.most // 2))
+            self.memo.update((c, e) for c, e in new.items() if len(c) <= MEMO_CHARS)
+        if collecting:
+            gc.enable()
         return got
 
 
@@ -360,12 +383,12 @@ def groups_of(texts: list[str | None], most: int = 400_000) -> Iterator[list[lis
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, lexicon=None, version: str = "") -> Encoder:
+def encoder(path: str, lexicon=None, version: str = "", shown: bool = True) -> Encoder:
     """The encoder of this worker process; `lexicon` is a broadcast."""
-    if (path, version) not in _ENCODERS:
+    if (key := (path, version, shown)) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, version] = Encoder(path, lexicon.value if lexicon is not None else None)
-    return _ENCODERS[path, version]
+        _ENCODERS[key] = Encoder(path, lexicon.value if lexicon is not None else None, shown)
+    return _ENCODERS[key]
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:

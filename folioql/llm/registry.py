@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioql.llm import dedup, langid, licenses, matroska, oracle, packing, sharding, tokens, warc
+from folioql.llm import dedup, langid, licenses, lm, matroska, ngram_join, oracle, packing, sharding, tokens, warc
 from folioql.llm._common import table
 
 
@@ -35,10 +35,18 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_digests(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op8_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media_digests(table(spark, sf_dir, "documents"))
 

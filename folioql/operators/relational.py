@@ -121,7 +121,7 @@ def _plain_key(df: DataFrame, column: str) -> Column:
 
 def size_estimate(df: DataFrame) -> int:
     """Bytes of a plan by Catalyst's statistics."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def as_of_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, on: Sequence[str]) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioql.llm._common import batches_of, crc32_text, cut
+from folioql.llm._common import batches_of, crc32_text, cut, most_frequent
 
 KNOWN_WORDS, TOP_WORDS, SPELLING = 200_000, 1_000, 48
 #: Longer words are never among the known ones, which bounds the broadcast.
@@ -105,7 +105,7 @@ class Vocabulary:
 
 def vocabulary(words: DataFrame, known_words: int = KNOWN_WORDS, top_words: int = TOP_WORDS) -> Vocabulary:
     """Bounded parts of the word counts: the known words, and totals by spelling class."""
-    known = words.where(F.octet_length("word") <= KNOWN_BYTES).orderBy(F.desc("total"), "word").limit(known_words).toArrow().to_pydict()
+    known = most_frequent(words.where(F.octet_length("word") <= KNOWN_BYTES), "total", known_words).toArrow().sort_by([("total", "descending"), ("word", "ascending")]).to_pydict()
     sums = {r["cls"]: (r["n"], r["v"]) for r in words.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).collect()}
     order = sorted((k for k, n in enumerate(known["n"]) if n > 0), key=lambda k: (-known["n"][k], known["word"][k]))[:top_words]
     top = {known["word"][k]: i for i, k in enumerate(order)}

@@ -69,9 +69,21 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     return found.select(*plain, *picked)
 
 
+_SLOT: dict = {}
+
+
+def worker_slot(key, make):
+    """What a Python worker keeps between tasks: one operator's state at a time, so that memory does not add up."""
+    if key not in _SLOT:
+        _SLOT.clear()
+        _SLOT[key] = make()
+    return _SLOT[key]
+
+
 def crc32_text(column: Column | str) -> Column:
     """Unsigned CRC-32 of a column's text form (null counts as empty)."""
-    return F.crc32(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string").cast("binary"))
+    column = F.col(column) if isinstance(column, str) else column
+    return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
 def batches_of(batch, *names: str):
@@ -89,3 +101,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def most_frequent(df: DataFrame, count: str, limit: int) -> DataFrame:
+    """The rows of highest `count`, at most `limit` of them, without a global sort.
+
+    Counts fall into 16 buckets an octave (some hundred in all); whole buckets are taken from the
+    top while they fit.  The cut depends on counts alone, so it is the same on every run.
+    """
+    bucket = F.floor(F.log2(F.greatest(F.col(count), F.lit(1)).cast("double")) * 16)
+    sizes = {r["b"]: r["n"] for r in df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()}
+    taken, lowest = 0, None
+    for b in sorted(sizes, reverse=True):
+        if taken + sizes[b] > limit:
+            break
+        taken, lowest = taken + sizes[b], b
+    return df.where(bucket >= lowest) if lowest is not None else df.limit(0)

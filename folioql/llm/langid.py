@@ -17,6 +17,7 @@ whole.  Repeated rows give repeated rows; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from functools import cache
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioql.llm._common import batches_of, crc32_text, fresh
+from folioql.llm._common import batches_of, crc32_text, fresh, worker_slot
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 20_000
@@ -46,7 +47,7 @@ SCRIPTS = {
 }
 OTHER = len(SCRIPTS) + 1
 #: Code points scored at a time, and code points whose words are labelled side by side.
-BLOCK, GROUP = 1 << 20, 6 << 20
+BLOCK, GROUP = 1 << 19, 3 << 20
 
 
 @cache
@@ -141,11 +142,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
 
 def label(model: Model, texts: list[str | None], penalty: float = SWITCH_PENALTY):
     """For each text: starts, lengths and labels of its words."""
-    parts, group, held = [code_points(t) if t else np.zeros(0, np.uint32) for t in texts], [], 0
-    for k, p in enumerate(parts):
-        group.append(p)
-        held += len(p)
-        if held >= GROUP or k == len(parts) - 1:
+    group, held = [], 0
+    for k, t in enumerate(texts):
+        group.append(code_points(t) if t else np.zeros(0, np.uint32))
+        held += len(group[-1])
+        if held >= GROUP or k == len(texts) - 1:
             yield from _label_group(model, group, penalty)
             group, held = [], 0
 
@@ -214,16 +215,15 @@ def fit(docs: DataFrame, where: Column, id_column: str = "doc_id", text: str = "
 
 def _run(docs: DataFrame, model: Model, keep: list[str], text: str, columns: str, rows) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model))
-    kept = [docs.schema[c] for c in keep]
+    kept, key = [docs.schema[c] for c in keep], uuid.uuid4().hex
     (read,) = fresh(docs, "_text")
 
     def run(batches):
-        own = shared.value[1]
+        own = worker_slot(("languages", key), lambda: shared.value[1])
         for batch in batches:
-            texts = batch.column(len(kept)).to_pylist()
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                values = rows(own, label(own, texts[at : at + 4096]))
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                values = rows(own, label(own, part.column(len(kept)).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), *values[1]], names=[*keep, *values[0]])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from folioql.llm._common import attach_groups, batches_of, cut
+from folioql.llm._common import attach_groups, batches_of, cut, fresh, worker_slot
 from folioql.llm.graph import connected_components
 
 N, PERCENT = 5, 80
@@ -76,16 +76,13 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_POWERS = _Powers()
-
-
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and starts of the words of lower-cased bytes (white space: 20 and 09-0D)."""
     data = np.frombuffer(raw, np.uint8)
     space = (data == 0x20) | ((data >= 9) & (data <= 13))
     edges = np.flatnonzero(np.diff(np.concatenate([[1], space.view(np.int8), [1]])))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _POWERS.of(len(data) + 1)
+    up, down = worker_slot("powers", _Powers).of(len(data) + 1)
     total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1])])
     return _mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
 
@@ -433,5 +430,6 @@ def components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n
 
 def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each component stays, with its own columns; rows without an id stay."""
-    gone = components(docs, id_column, text, n, percent).where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
+    (at,) = fresh(docs, "_gone")
+    gone = components(docs, id_column, text, n, percent).where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias(at)).distinct()
+    return docs.join(gone, F.col(id_column) == F.col(at), "left_anti")

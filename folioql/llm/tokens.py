@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioql.llm._common import batches_of
+from folioql.llm._common import batches_of, cut, most_frequent, worker_slot
 
 #: Distinct chunks a worker remembers (half as many with their decoded text); the longest it remembers.
-MEMO_ENTRIES, MEMO_CHARS = 1_200_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 1_000_000, 64
 #: Words of at most so many bytes are merged side by side in numpy.
 LOCKSTEP = 32
 #: A task reports a word to the lexicon count once it has seen it this often.
@@ -380,15 +380,9 @@ def groups_of(texts: list[str | None], most: int = 400_000) -> Iterator[list[lis
         yield group
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, lexicon=None, version: str = "", shown: bool = True) -> Encoder:
     """The encoder of this worker process; `lexicon` is a broadcast."""
-    if (key := (path, version, shown)) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(path, lexicon.value if lexicon is not None else None, shown)
-    return _ENCODERS[key]
+    return worker_slot(("bpe", path, version, shown), lambda: Encoder(path, lexicon.value if lexicon is not None else None, shown))
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:
@@ -416,8 +410,8 @@ def frequent_words(docs: DataFrame, text: str, vocabulary: str, limit: int = LEX
                     yield report()
         yield report()
 
-    counted = docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    counted = cut(docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    return most_frequent(counted, "n", limit).toArrow()["word"].to_pylist()
 
 
 def compile_lexicon(words: Iterable[str], vocabulary: str) -> bytes:

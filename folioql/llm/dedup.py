@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioql.llm._common import attach_groups, cut
+from folioql.llm._common import attach_groups, cut, fresh
 
 #: A chunk ends at the first line or sentence end after MIN_CHARS characters, and at MAX_CHARS at the latest.
 MIN_CHARS, MAX_CHARS = 512, 4096
@@ -65,7 +65,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
 
 
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns.  Rows without an id are kept apart by nothing else, so all stay whose group has no id."""
-    gone = exact_duplicates(docs, id_column, text).where(~F.col("kept")).select(F.col(id_column).alias("_gone"), "text_sha256").distinct()
+    """The documents that stay, with their own columns.  Where no copy has an id, all of them stay."""
+    at, sha = fresh(docs, "_gone", "_gone_sha")
+    gone = exact_duplicates(docs, id_column, text).where(~F.col("kept")).select(F.col(id_column).alias(at), F.col("text_sha256").alias(sha)).distinct()
     whole = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    return docs.join(gone, F.col(id_column).eqNullSafe(F.col("_gone")) & (whole == F.col("text_sha256")), "left_anti")
+    return docs.join(gone, F.col(id_column).eqNullSafe(F.col(at)) & (whole == F.col(sha)), "left_anti")

@@ -14,7 +14,7 @@ Of pages with equal payloads of at least `REVISIT_FROM` bytes the smallest id is
 Edge cases: a null page is an empty payload; a null url or id is left out of the header, and is null
 when read.  Line ends in urls are percent-encoded.  Pages of one hot payload never meet in a task.
 An empty table gives archives without records.  Broken chains end at the break: records behind a
-damaged header are not trusted.  Extra columns are ignored.
+damaged header are not trusted, nor is a record without its end mark.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -155,7 +155,7 @@ def _candidates(with_payload: bool):
                 if found := parse_unit(value):
                     head, headers, length = found
                     row["span"] = m + head + length + len(END)
-                    row["whole"] = head + length + len(END) == len(value)
+                    row["whole"] = head + length + len(END) == len(value) and value.endswith(b"\r\n\r\n")
                     if row["whole"]:
                         fields, payload = describe(headers, value[head : head + length])
                         row |= fields | ({"payload": payload} if with_payload else {})
@@ -248,9 +248,11 @@ def _assembled(spark: SparkSession, path: str, walked: DataFrame, names: list[st
         table = table.sort_by([("block", "ascending"), ("at", "ascending")])
         unit = magic.join(table["value"].to_pylist())
         head, headers, length = parse_unit(unit)
+        kinds = {"path": pa.string(), "offset": pa.int64()} | _ROW_TYPES | {"payload": pa.binary()}
+        if unit[head + length : head + length + len(END)] != END.encode():  # cut off, or the length is wrong
+            return pa.table({n: pa.array([], kinds[n]) for n in ["path", "offset", *names]})
         row, payload = describe(headers, unit[head : head + length])
         row |= {"path": table["path"][0].as_py(), "offset": table["offset"][0].as_py(), "payload": payload}
-        kinds = {"path": pa.string(), "offset": pa.int64()} | _ROW_TYPES | {"payload": pa.binary()}
         return pa.table({n: pa.array([row[n]], kinds[n]) for n in ["path", "offset", *names]})
 
     fields = "path string, offset long, " + _FIELDS + (", payload binary" if "payload" in names else "")

@@ -106,6 +106,10 @@ class Vocabulary:
 def vocabulary(words: DataFrame, known_words: int = KNOWN_WORDS, top_words: int = TOP_WORDS) -> Vocabulary:
     """Bounded parts of the word counts: the known words, and totals by spelling class."""
     known = most_frequent(words.where(F.octet_length("word") <= KNOWN_BYTES), "total", known_words).toArrow().sort_by([("total", "descending"), ("word", "ascending")]).to_pydict()
+    if END not in known["word"]:  # the end is known in any case, with its own count
+        for r in words.where(F.col("word") == F.lit(END)).collect():
+            for k in known:
+                known[k].append(bytes(r[k]) if k == "word" else r[k])
     sums = {r["cls"]: (r["n"], r["v"]) for r in words.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).collect()}
     order = sorted((k for k, n in enumerate(known["n"]) if n > 0), key=lambda k: (-known["n"][k], known["word"][k]))[:top_words]
     top = {known["word"][k]: i for i, k in enumerate(order)}

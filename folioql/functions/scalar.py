@@ -45,19 +45,23 @@ def array_concat(*arrays: Column) -> Column:
     return F.concat(*arrays)
 
 
-def _first_of_each(arr: Column) -> Column:
-    keys = _keys(arr)
-    return F.filter(F.arrays_zip(arr.alias("v"), F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(arr))).alias("i"), keys.alias("k")), lambda e: e["k"].isNotNull() & (F.array_position(keys, e["k"]) == e["i"]))
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once (a lambda's argument is; an expression inside one is not)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _by_key(s: Column):
+    return lambda k: F.get(s["v"], (F.array_position(s["k"], k) - 1).cast("int"))
 
 
 def array_union(a: Column, b: Column) -> Column:
     """Without duplicates, in order of first appearance."""
-    return F.transform(_first_of_each(F.concat(a, b)), lambda e: e["v"])
+    both = F.concat(a, b)
+    return _let(F.struct(both.alias("v"), _keys(both).alias("k")), lambda s: F.transform(F.array_distinct(s["k"]), _by_key(s)))
 
 
 def array_intersect(a: Column, b: Column) -> Column:
-    other = _keys(b)
-    return F.transform(F.filter(_first_of_each(a), lambda e: F.array_contains(other, e["k"])), lambda e: e["v"])
+    return _let(F.struct(a.alias("v"), _keys(a).alias("k"), _keys(b).alias("o")), lambda s: F.transform(F.array_intersect(s["k"], s["o"]), _by_key(s)))
 
 
 # JSON conversions: NULL where the text or value is not of the kind.

@@ -48,3 +48,16 @@ FROM p LEFT JOIN h USING (doc_id)
 
 
 SQL["op5_license_scan"] = _license_sql()
+
+SQL["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id JOIN n AS p ON p.doc_id = a.doc_id JOIN n AS q ON q.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+c(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.y, c.r FROM c JOIN e ON e.x = c.doc_id WHERE c.r < e.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.r AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS r FROM c GROUP BY doc_id) AS m USING (doc_id)
+"""

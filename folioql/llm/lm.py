@@ -6,9 +6,9 @@ belongs to one of `SPELLING` classes by its spelling.  A class is predicted from
 
     s(c | a, b) = q_c . (M1 r_a + M2 r_b) + bias_c,        P(c | a, b) = exp s / sum over classes
 
-Parameters are fitted in numpy by noise-contrastive estimation (Mnih and Teh 2012) on a sample of
-whole training texts with at most about `sample_tokens` tokens; biases start from the class
-frequencies of all training texts.  Since the score is a sum over the two positions, all normalisers
+Parameters are fitted in numpy by noise-contrastive estimation (Mnih and Teh 2012) on all training
+texts: in each epoch every task goes over its own texts, shuffled `sample_tokens` or so at a time,
+and the parameters of the tasks are averaged; biases start from the class frequencies.  Since the score is a sum over the two positions, all normalisers
 are one matrix product of exponentials, and scoring a token is three lookups, exactly normalised.
 A word of a spelling class has its share of the class, (n + 0.5) / (class total + 0.5 (class types + 1)),
 counted over all training texts; so the model is a distribution over words, with one unseen word a class.
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ from folioql.llm._common import batches_of, crc32_text, cut, most_frequent
 KNOWN_WORDS, TOP_WORDS, SPELLING = 200_000, 1_000, 48
 #: Longer words are never among the known ones, which bounds the broadcast.
 KNOWN_BYTES = 64
+#: SAMPLE_TOKENS is what a task shuffles at a time and has at least between two averages; all tokens are trained on.
 SAMPLE_TOKENS, DIMENSIONS, NOISE, BATCH, EPOCHS, RATE = 1_500_000, 24, 64, 2048, 3, 0.1
 #: Distinct words a task counts before it hands them on.
 COUNTED = 400_000
@@ -147,71 +149,158 @@ def tables(r: np.ndarray, q: np.ndarray, m1: np.ndarray, m2: np.ndarray, bias: n
     return Model(first.astype(np.float32), second.astype(np.float32), normal.astype(np.float32))
 
 
+PARTS = ("r", "q", "m1", "m2", "bias")
+
+
+def start(counts: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 7) -> dict[str, np.ndarray]:
+    """Parameters and Adagrad sums (under "+" and the name) before training; biases are log frequencies."""
+    rng, n = np.random.default_rng(seed), len(counts)
+    p = {"r": rng.normal(0, 0.1, (n, dimensions)), "q": rng.normal(0, 0.1, (n, dimensions)), "m1": np.eye(dimensions) * 0.5, "m2": np.eye(dimensions), "bias": np.log((counts + 0.5) / (counts + 0.5).sum())}
+    p |= {f"+{k}": np.full(v.shape, 1e-6) for k, v in p.items()}
+    return {k: v.astype(np.float32) for k, v in p.items()}
+
+
+def contexts(stream: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The classes two back and one back of each token."""
+    last = np.concatenate([[end], stream[:-1]])
+    return np.concatenate([[end], last[:-1]]), last
+
+
+def _rows(p: dict, name: str, at: np.ndarray, grad: np.ndarray, turn: np.ndarray | None = None) -> None:
+    """Adagrad on the rows `at`, whose gradients are summed first (and then turned by a matrix)."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    own = at[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    own, total = own[first], np.add.reduceat(grad.take(order, 0), first, axis=0)
+    if turn is not None:
+        total = total @ turn
+    squares = p[f"+{name}"].take(own, 0) + total * total
+    p[f"+{name}"][own] = squares
+    p[name][own] += np.float32(RATE) * total / np.sqrt(squares)
+
+
+def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, target: np.ndarray, noise: np.ndarray, rng: np.random.Generator, touched: dict[str, np.ndarray]) -> None:
+    """One pass of noise-contrastive estimation over tokens in random order; `noise` is shared by a batch.
+
+    `touched` counts how often each row was updated.
+    """
+    r, q, m1, m2, bias = (p[k] for k in PARTS)
+    n = len(noise)
+    cumulated, offset = np.cumsum(noise), (np.log(noise) + np.log(NOISE)).astype(np.float32)
+    half = np.float32(0.5)
+    for part in np.array_split(rng.permutation(len(target)), max(1, len(target) // BATCH)):
+        a, b, c = before.take(part), last.take(part), target.take(part)
+        drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE) * cumulated[-1], side="right"), n - 1)
+        ra, rb, qc, qd = r.take(a, 0), r.take(b, 0), q.take(c, 0), q.take(drawn, 0)
+        context = ra @ m1.T + rb @ m2.T
+        # P(data) against NOISE noise samples a token; the normaliser is taken as 1
+        true = np.einsum("ij,ij->i", context, qc) + bias[c] - offset[c]
+        false = context @ qd.T
+        false += bias[drawn] - offset[drawn]
+        # logistic functions by tanh, which cannot overflow
+        pull = half - half * np.tanh(half * true)
+        push = np.tanh(np.multiply(false, half, out=false), out=false)
+        push += np.float32(1)
+        push *= -half
+        g_context = pull[:, None] * qc + push @ qd
+        at = np.concatenate([c, drawn])
+        g_m1, g_m2, old1, old2 = g_context.T @ ra, g_context.T @ rb, m1.copy(), m2.copy()
+        _rows(p, "q", at, np.concatenate([pull[:, None] * context, push.T @ context]))
+        g_bias = np.bincount(at, np.concatenate([pull, push.sum(axis=0)]), n).astype(np.float32)
+        p["+bias"] += g_bias**2
+        bias += np.float32(RATE) * g_bias / np.sqrt(p["+bias"])
+        _rows(p, "r", a, g_context, old1)
+        _rows(p, "r", b, g_context, old2)
+        for k, g in (("m1", g_m1), ("m2", g_m2)):
+            p[f"+{k}"] += g**2
+            p[k] += np.float32(RATE) * g / np.sqrt(p[f"+{k}"])
+        touched["q"] += np.bincount(at, minlength=n)
+        touched["r"] += np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+
+
+def noise_of(counts: np.ndarray) -> np.ndarray:
+    return (counts + 0.5) / (counts + 0.5).sum()
+
+
 def train(streams: list[np.ndarray], counts: np.ndarray, end: int, dimensions: int = DIMENSIONS, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Noise-contrastive estimation with Adagrad; noise is the class distribution, shared by a batch."""
-    rng = np.random.default_rng(seed)
-    n = len(counts)
-    noise = (counts + 0.5) / (counts + 0.5).sum()
-    log_noise = np.log(noise)
-    r, q = rng.normal(0, 0.1, (n, dimensions)), rng.normal(0, 0.1, (n, dimensions))
-    m1, m2, bias = np.eye(dimensions) * 0.5, np.eye(dimensions), log_noise.copy()
+    """Noise-contrastive estimation with Adagrad in this process."""
+    p, rng = start(counts, dimensions, seed), np.random.default_rng(seed)
     if streams:
-        before = np.concatenate([np.concatenate([[end, end], s[:-2]])[: len(s)] if len(s) > 1 else [end] for s in streams]).astype(np.int64)
-        last = np.concatenate([np.concatenate([[end], s[:-1]]) for s in streams]).astype(np.int64)
+        before, last = (np.concatenate(x).astype(np.int64) for x in zip(*(contexts(s, end) for s in streams)))
         target = np.concatenate(streams).astype(np.int64)
-        state = {k: np.full(v.shape, 1e-6) for k, v in (("r", r), ("q", q), ("m1", m1), ("m2", m2), ("bias", bias))}
-
-        def rows(name, value, at, grad):
-            """Adagrad on the rows `at`, whose gradients are summed first."""
-            own, where = np.unique(at, return_inverse=True)
-            total = np.zeros((len(own), *value.shape[1:]))
-            np.add.at(total, where, grad)
-            state[name][own] += total**2
-            value[own] += RATE * total / np.sqrt(state[name][own])
-
-        def whole(name, value, grad):
-            state[name] += grad**2
-            value += RATE * grad / np.sqrt(state[name])
-
-        steps = max(1, len(target) // BATCH)
         for _ in range(epochs):
-            order = rng.permutation(len(target))
-            for part in np.array_split(order, steps):
-                a, b, c = before[part], last[part], target[part]
-                drawn = rng.choice(n, NOISE, p=noise)
-                ra, rb = r[a], r[b]
-                context = ra @ m1.T + rb @ m2.T
-                # P(data) against NOISE noise samples a token; the normaliser is taken as 1
-                true = (context * q[c]).sum(axis=1) + bias[c] - log_noise[c] - np.log(NOISE)
-                false = context @ q[drawn].T + bias[drawn] - log_noise[drawn] - np.log(NOISE)
-                pull = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-                push = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-                g_context = pull[:, None] * q[c] + push @ q[drawn]
-                at = np.concatenate([c, drawn])
-                rows("q", q, at, np.concatenate([pull[:, None] * context, push.T @ context]))
-                rows("bias", bias, at, np.concatenate([pull, push.sum(axis=0)]))
-                rows("r", r, np.concatenate([a, b]), np.concatenate([g_context @ m1, g_context @ m2]))
-                whole("m1", m1, g_context.T @ ra)
-                whole("m2", m2, g_context.T @ rb)
-    return tables(r, q, m1, m2, bias)
-
-
-def class_streams(docs: DataFrame, vocab: Vocabulary, train_rows: Column, id_column: str, text: str, sample_tokens: int = SAMPLE_TOKENS) -> list[np.ndarray]:
-    """Classes of the tokens of whole training texts, dealt by a hash so that they have about `sample_tokens` tokens."""
-    share = min(1.0, sample_tokens / max(1, vocab.tokens))
-    shared = docs.sparkSession.sparkContext.broadcast((vocab.known, vocab.classes - SPELLING))
-
-    def run(batches):
-        known, top = shared.value
-        for batch in batches:
-            for t in batches_of(batch, text)[0]:
-                ids = [known[w][0] if w in known else top + spelling_class(w) for w in tokens_of(t)]
-                yield pa.RecordBatch.from_pydict({"ids": pa.array([np.array(ids, "<u2").tobytes()], pa.binary())})
-
-    # signed 64-bit hashes below a bound: the share of all of them
-    picked = docs.where(train_rows & (F.xxhash64(id_column) < F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)))
-    found = picked.select(text).mapInArrow(run, "ids binary").toArrow()["ids"].to_pylist()
-    return [np.frombuffer(x, "<u2") for x in sorted(found)]
+            descend(p, before, last, target, noise_of(counts), rng, {k: np.zeros(len(counts)) for k in "rq"})
+    return tables(*(p[k].astype(np.float64) for k in PARTS))
+
+
+def _weights(touched: dict[str, np.ndarray], tokens: int) -> dict[str, np.ndarray | float]:
+    """What a share's value of each parameter counts for in the average: the updates of a row, the tokens of a matrix."""
+    own = {"r": touched["r"][:, None], "q": touched["q"][:, None], "bias": touched["q"], "m1": float(tokens), "m2": float(tokens)}
+    return own | {f"+{k}": v for k, v in own.items()}
+
+
+def train_everywhere(streams: DataFrame, counts: np.ndarray, end: int, tokens: int, share_tokens: int = SAMPLE_TOKENS, epochs: int = EPOCHS, seed: int = 7) -> tuple[Model, int]:
+    """The model of all `streams` (column ids: classes of whole training texts), and how many tokens its passes read.
+
+    In each epoch every task goes once over all its texts, `share_tokens` or so in memory at a time,
+    and the parameters are averaged, row by row by the number of updates.  Sums are added up in about
+    sqrt(tasks) groups, so the driver's part stays small.
+    """
+    spark, p, n, read = streams.sparkSession, start(counts, seed=seed), len(counts), 0
+    # too short shares would hardly move between two averages
+    streams = streams.coalesce(max(1, -(-tokens // share_tokens)))
+    groups = max(1, int(np.sqrt(streams.rdd.getNumPartitions())))
+    shapes, noise = {k: v.shape for k, v in p.items()}, noise_of(counts)
+
+    def packed(sums, touched, seen):
+        return np.concatenate([*(sums[k].ravel() for k in shapes), touched["r"], touched["q"], [seen]]).astype(np.float64)
+
+    def unpacked(flat):
+        sums, at = {}, 0
+        for k, shape in shapes.items():
+            sums[k] = flat[at : at + int(np.prod(shape))].reshape(shape)
+            at += int(np.prod(shape))
+        return sums, {"r": flat[at : at + n], "q": flat[at + n : at + 2 * n]}, int(flat[-1])
+
+    def add(batch: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, "<f8") for x in batch["flat"].to_pylist())
+        return pa.table({"flat": pa.array([total.tobytes()], pa.binary())})
+
+    for epoch in range(epochs):
+        shared = spark.sparkContext.broadcast(p)
+
+        def run(batches, shared=shared, epoch=epoch):
+            part = TaskContext.get().partitionId()
+            own, rng = {k: v.copy() for k, v in shared.value.items()}, np.random.default_rng([seed, epoch, part])
+            touched, held, size, seen = {k: np.zeros(n) for k in "rq"}, [], 0, 0
+
+            def go():
+                before, last = (np.concatenate(x).astype(np.int32) for x in zip(*(contexts(s, end) for s in held)))
+                descend(own, before, last, np.concatenate(held).astype(np.int32), noise, rng, touched)
+
+            for batch in batches:
+                for ids in batches_of(batch, "ids")[0]:
+                    held.append(np.frombuffer(ids, "<u2"))
+                    size += len(held[-1])
+                    if size >= share_tokens:
+                        go()
+                        held, size, seen = [], 0, seen + size
+            if size:
+                go()
+            seen += size
+            weights = _weights(touched, seen)
+            flat = packed({k: v * weights[k] for k, v in own.items()}, touched, seen)
+            yield pa.RecordBatch.from_pydict({"grp": pa.array([part % groups], pa.int32()), "flat": pa.array([flat.tobytes()], pa.binary())})
+
+        got = streams.mapInArrow(run, "grp int, flat binary").groupBy("grp").applyInArrow(lambda t: add(t), "flat binary").toArrow()
+        if got.num_rows:
+            sums, touched, seen = unpacked(sum(np.frombuffer(x, "<f8") for x in sorted(got["flat"].to_pylist())))
+            weights = _weights(touched, seen)
+            # rows that nobody updated keep their values
+            p = {k: np.where(np.broadcast_to(weights[k], v.shape) > 0, sums[k] / np.maximum(weights[k], 1), v).astype(np.float32) for k, v in p.items()}
+            read += seen
+        shared.unpersist()
+    return tables(*(p[k].astype(np.float64) for k in PARTS)), read
 
 
 def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known_words: int = KNOWN_WORDS, top_words: int = TOP_WORDS, sample_tokens: int = SAMPLE_TOKENS) -> DataFrame:
@@ -221,22 +310,21 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known_
     words = cut(count_words(docs, own, text))
     vocab = vocabulary(words, known_words, top_words)
     end = vocab.known[END][0]
-    model = train(class_streams(docs, vocab, own, id_column, text, sample_tokens), vocab.counts, end)
-    shared = spark.sparkContext.broadcast((vocab, model))
+    known = spark.sparkContext.broadcast(vocab)
     kind = docs.schema[id_column].dataType.simpleString()
 
-    def run(batches):
-        vocab, model = shared.value
-        known, top = vocab.known, vocab.classes - SPELLING
-        n_of = np.fromiter((n for _, n in known.values()), np.int64, len(known))
-        class_of = np.fromiter((c for c, _ in known.values()), np.int64, len(known))
-        number = {w: k for k, w in enumerate(known)}
+    def look(batches):
+        vocab = known.value
+        top = vocab.classes - SPELLING
+        n_of = np.fromiter((n for _, n in vocab.known.values()), np.int64, len(vocab.known))
+        class_of = np.fromiter((c for c, _ in vocab.known.values()), np.int64, len(vocab.known))
         # by known word: base score, and share of the class where the class has several words
         base = vocab.base(n_of)
         inner = np.where(class_of >= top, vocab.share(n_of, np.maximum(class_of - top, 0)), 0.0)
-        get = number.get
+        get = {w: k for k, w in enumerate(vocab.known)}.get
+        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "inner": pa.float64(), "ids": pa.binary(), "rare": pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))}
         for batch in batches:
-            rows = {k: [] for k in ("n_tokens", "n_known", "base", "score", "rare")}
+            rows = {k: [] for k in kinds}
             for t in batches_of(batch, text)[0]:
                 tokens = tokens_of(t)
                 got = list(map(get, tokens))
@@ -252,20 +340,31 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known_
                 else:
                     ids = np.array(got, np.int64)
                     classes = class_of[ids]
-                last = np.concatenate([[end], classes[:-1]])
-                before = np.concatenate([[end], last[:-1]])
                 rows["n_tokens"].append(len(tokens))
                 rows["n_known"].append(int(np.count_nonzero(n_of[ids])))
                 rows["base"].append(float(base[ids].sum()))
-                rows["score"].append(float(model.log_probabilities(before, last, classes).sum(dtype=np.float64) / np.log(10) + inner[ids].sum()))
+                rows["inner"].append(float(inner[ids].sum()))
+                rows["ids"].append(classes.astype("<u2").tobytes())
                 rows["rare"].append([{"word": w, "tf": n} for w, n in rare.items()])
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, t) for v, t in zip(rows.values(), kinds))], names=[id_column, *rows])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, kinds[k]) for k, v in rows.items())], names=[id_column, "_own", *rows])
 
-    docs = docs.select(id_column, text)
-    rows = docs.mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, tf: bigint>>")
-    rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
-    rare = rows.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.tf")
+    looked = docs.select(id_column, own.alias("_own"), text).mapInArrow(look, f"`{id_column}` {kind}, _own boolean, n_tokens long, n_known long, base double, inner double, ids binary, rare array<struct<word: binary, tf: bigint>>")
+    looked = cut(looked.withColumn("_row", F.monotonically_increasing_id()))
+    model, _ = train_everywhere(looked.where("_own").select("ids"), vocab.counts, end, vocab.tokens, sample_tokens)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            scores = []
+            for ids, inner in zip(*batches_of(batch, "ids", "inner")):
+                classes = np.frombuffer(ids, "<u2").astype(np.int64)
+                scores.append(float(model.log_probabilities(*contexts(classes, end), classes).sum(dtype=np.float64) / np.log(10) + inner))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(5)), pa.array(scores, pa.float64())], names=[*plain, "score"])
+
+    plain = [id_column, "_row", "n_tokens", "n_known", "base"]
+    rows = looked.select(*plain, "ids", "inner").mapInArrow(run, f"`{id_column}` {kind}, _row long, n_tokens long, n_known long, base double, score double")
+    rare = looked.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.tf")
     # words that no training text holds need no partner: their count is 0; the class comes with the count or from the spelling
     met = rare.join(words.where("n > 0 ").select("word", "n"), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("double"))
     cls = F.pmod(F.crc32(F.expr("substring(word, greatest(1, octet_length(word) - 1), 2)")) + (F.octet_length("word") > 7).cast("int"), F.lit(SPELLING)).cast("int")
@@ -277,7 +376,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known_
         F.sum(F.col("tf") * F.log10((F.col("n") + 0.5) / F.get(room, cls))).alias("s"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return rows.drop("rare").join(sums, "_row", "left").select(
+    return rows.join(sums, "_row", "left").select(
         id_column, held_out(id_column).alias("held_out"), "n_tokens", (F.col("n_known") + zero("k")).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("b")).alias("base_score"), (F.col("score") + zero("s")).alias("score"),
     )

@@ -150,3 +150,25 @@ def test_scores_over_messy_rows(messy, rows, empty):
         known, base = want[r.doc_id, r.n_tokens]
         assert r.n_known == known and abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and r.train_tokens == n and np.isfinite(r.score) and r.score < 0
     assert lm.score(empty).count() == 0
+
+
+def test_every_training_text_reaches_the_model(spark):
+    """Word order is only in texts that a sample by hash (here the lowest 0.2 of the hashes) would leave out."""
+    r, words = np.random.default_rng(3), list("abcdef")
+    ids = spark.range(4000).select("id", F.xxhash64("id").alias("h"), lm.held_out("id").alias("held")).collect()
+    rows = [(x.id, " ".join(words * 8 if x.h >= -(2**63) + 0.2 * 2**64 else r.choice(words, 48))) for x in ids if not x.held]
+    held = [x.id for x in ids if x.held][:2]
+    docs = spark.createDataFrame([*rows, (held[0], " ".join(words * 8)), (held[1], " ".join(words[::-1] * 8))], "doc_id long, text string").coalesce(2)
+    got = {x.doc_id: x.score for x in lm.score(docs, sample_tokens=30_000).where("held_out").collect()}
+    assert got[held[0]] - got[held[1]] > 0.3 * 48
+
+
+def test_passes_read_every_token(spark):
+    streams = [np.array([0, 1, 2] * 40 + [3], "<u2") for _ in range(60)]
+    counts = np.bincount(np.concatenate(streams), minlength=5).astype(float)
+    df = spark.createDataFrame([(bytearray(s.tobytes()),) for s in streams], "ids binary").repartition(3)
+    model, read = lm.train_everywhere(df, counts, 3, int(counts.sum()), share_tokens=2000, epochs=8)
+    assert read == 8 * counts.sum()
+    assert np.exp(model.log_probabilities(np.array([0]), np.array([1]), np.array([2])))[0] > 0.5
+    model, read = lm.train_everywhere(df.limit(0), counts, 3, 0)
+    assert read == 0 and np.isfinite(model.normal).all()

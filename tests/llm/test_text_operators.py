@@ -1,4 +1,5 @@
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -47,6 +48,37 @@ def test_license_scan_is_native(messy):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
 
 
+def brute_runs(text):
+    """Labels and best containment by lines and by all runs of words up to a notice's longest run."""
+    low = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    found, words = {}, re.findall(licenses.WORD, low(text))
+    for label, ws in licenses.template_words(licenses.TEMPLATES).items():
+        n = licenses.run_words(licenses.TEMPLATES[label])
+        blocks = [re.findall(licenses.WORD, line) for line in low(text).split("\n")] + [words[k : k + n] for k in range(len(words))]
+        best = max(len(set(b) & set(ws)) / len(ws) for b in blocks)
+        if best >= 0.8 - 1e-9:
+            found[label] = best
+    return ",".join(sorted(found)), max(found.values(), default=0.0)
+
+
+def test_wrapped_notices(spark):
+    """Each notice at several widths, with comment marks, inside other text, and with words that lie too far apart."""
+    r, texts = np.random.default_rng(4), []
+    for label, notice in licenses.TEMPLATES.items():
+        for width, mark in ((72, ""), (80, "# "), (30, " * "), (20, "dnl ")):
+            wrapped = "\n".join(mark + x for x in textwrap.wrap(notice, width))
+            texts += [(label, wrapped), (label, f"one two of the\n\n{wrapped}\n{'word in a ' * 30}")]
+        texts.append((None, "\n".join(f"{w} {'x ' * 9}" for w in notice.split())))
+    pool = sorted({w for t in licenses.TEMPLATES.values() for w in t.split()})
+    texts += [(None, "\n".join(" ".join(r.choice(pool, 6)) for _ in range(n))) for n in (3, 60, 400)]
+    texts.append(("mit-permission", "the software " * 3000 + textwrap.fill(licenses.TEMPLATES["mit-permission"], 60) + "\nthe" * 700))
+    got = {x.doc_id: x for x in licenses.scan(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string"), phrases={"none": "no such phrase"}).collect()}
+    for k, (label, t) in enumerate(texts):
+        labels, best = brute_runs(t)
+        assert got[k].labels == labels and abs(got[k].score - best) < 1e-9
+        assert label is None or label in labels.split(",")
+
+
 # --- sharding ---
 
 

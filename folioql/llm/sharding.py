@@ -1,7 +1,7 @@
 """Hilbert-curve sharding (operator 2): metadata dimensions quantised, rows in curve order, runs cut.
 
-Each dimension becomes a number that keeps its order (strings by their first bytes) and then one of
-2^bits cells between quantiles of the data.  The Hilbert index of the cells orders the rows; rows of
+Each dimension becomes one of 2^bits cells between quantiles of the data: of strings themselves, and
+otherwise of a number that keeps the order.  The Hilbert index of the cells orders the rows; rows of
 one cell are ordered by a hash and the id.  The global rank comes from one range-partitioned sort
 and a table of partition counts, and equal runs of ranks are the shards, so files are narrow in every
 dimension at once and all `shards` counts are at most one apart.
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,12 +56,9 @@ def hilbert_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
-    """A long that keeps the order of a column's values; null is lowest."""
+    """A long that keeps the order of a column's values (no strings); null is lowest."""
     kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 7)), 14, "0")
-        value = F.conv(head, 16, 10).cast("long")
-    elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
         value = F.col(column).cast("double")
         value = F.when(F.isnan(value), F.lit(2**62)).otherwise(F.floor(F.least(F.greatest(value, F.lit(-1e15)), F.lit(1e15)) * 1000)).cast("long")
     elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -75,17 +72,43 @@ def _at_most(value: Column):
     return lambda c: c <= value
 
 
+def string_cuts(df: DataFrame, column: str, cells: int) -> list[str]:
+    """The quantiles of a string column at 1/cells, 2/cells and so on, by whole values; nulls are lowest and never a cut.
+
+    Distinct values are counted and sorted by range; the driver gets a row a partition and at most `cells` values.
+    """
+    partitions = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counted = df.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    counted = cut(counted.repartitionByRange(partitions, "v").sortWithinPartitions("v").withColumn("_p", F.spark_partition_id()))
+    sums = {r["_p"]: r["n"] for r in counted.groupBy("_p").agg(F.sum("n").alias("n")).collect()}
+    before, total = [], 0
+    for p in sorted(sums):
+        before.append((p, total))
+        total += sums[p]
+    if not total:
+        return []
+    starts = df.sparkSession.createDataFrame(before, "_q int, _before long")
+    own = F.sum("n").over(Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_own", own).join(F.broadcast(starts), F.col("_p") == F.col("_q")).withColumn("_up", F.col("_before") + F.col("_own"))
+    crossed = F.expr(f"least((_up * {cells}) div {total}, {cells - 1}) > ((_up - n) * {cells}) div {total}")
+    return sorted(r["v"] for r in ranked.where(crossed & F.col("v").isNotNull()).select("v").collect())
+
+
 def with_curve(df: DataFrame, dimensions: Sequence[str], bits: int = BITS, name: str = "curve") -> DataFrame:
     """`df` with its Hilbert index over `dimensions`."""
     cells = 1 << bits
     shares = F.array(*(F.lit(k / cells) for k in range(1, cells)))
-    bounds = df.agg(*(F.percentile_approx(ordinal(df, d), shares, F.lit(ACCURACY)).alias(f"q{k}") for k, d in enumerate(dimensions))).first()
+    strings = {d for d in dimensions if isinstance(df.schema[d].dataType, T.StringType)}
+    numbers = [d for d in dimensions if d not in strings]
+    found = df.agg(*(F.percentile_approx(ordinal(df, d), shares, F.lit(ACCURACY)) for d in numbers)).first() if numbers else ()
+    bounds = dict(zip(numbers, found))
     grid = []
-    for k, d in enumerate(dimensions):
-        cuts = sorted(set(bounds[k] or []))
+    for d in dimensions:
+        cuts = string_cuts(df, d, cells) if d in strings else sorted(set(bounds[d] or []))
         # few values: a cell for each, spread over the axis, so that all bits of the curve count
         spread = max(1, cells // (len(cuts) + 1))
-        passed = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<long>"), _at_most(ordinal(df, d))))
+        value, kind = (F.col(d), "array<string>") if d in strings else (ordinal(df, d), "array<long>")
+        passed = F.size(F.filter(F.array(*map(F.lit, cuts)).cast(kind), _at_most(value)))
         grid.append(passed * spread)
     curve = F.pandas_udf(lambda *x: pd.Series(hilbert_index([c.to_numpy() for c in x], bits)), T.LongType())
     return df.withColumn(name, curve(*grid))

@@ -108,6 +108,24 @@ def test_files_prune_on_every_dimension(spark, tmp_path):
     assert len(spans) == 16 and all(a < 48 and b < 48 for _, a, b in spans)
 
 
+def test_long_common_prefixes_do_not_hide_a_dimension(spark, tmp_path):
+    name = lambda c: F.concat(F.lit("https://example.org/source_"), F.lpad(c.cast("string"), 3, "0"))
+    df = spark.range(4096).select(name(F.col("id") % 64).alias("a"), name(F.floor(F.col("id") / 64)).alias("b"))
+    assert sharding.with_curve(df, ("a", "b")).select("curve").distinct().count() == 1024
+    sharding.write_shards(df, str(tmp_path / "s"), ("a", "b"), files=16)
+    number = lambda c: F.substring(c, -3, 3).cast("int")
+    spans = spark.read.parquet(str(tmp_path / "s")).groupBy(F.input_file_name()).agg(*(F.max(number(F.col(c))) - F.min(number(F.col(c))) for c in "ab")).collect()
+    assert len(spans) == 16 and all(a < 48 and b < 48 for _, a, b in spans)
+
+
+def test_string_cuts(spark):
+    values = [None] * 10 + ["a"] * 20 + [f"prefix-{k:02}" for k in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(3)
+    want = sorted({values[-(-k * len(values) // 8) - 1] for k in range(1, 8)} - {None})
+    assert sharding.string_cuts(df, "v", 8) == want
+    assert sharding.string_cuts(df.limit(0), "v", 8) == []
+
+
 # --- languages ---
 
 

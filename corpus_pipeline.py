@@ -17,7 +17,7 @@ from folioql.llm.registry import word_vocabulary
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found (no text, or no letter) go."""
+    """Documents in which no language is found (no text, no letter, or mostly scripts that training never saw) go."""
     ship(spark)
     return langid.keep_identified(docs, langid.fit(docs, ~langid.held_out()))
 

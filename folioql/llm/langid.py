@@ -30,6 +30,8 @@ from folioql.llm._common import batches_of, crc32_text, fresh, worker_slot
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 20_000
 SWITCH_PENALTY = 12.0
+#: Documents with a smaller share of letters in the scripts of training are rejected.
+KNOWN_SHARE = 0.5
 #: First and last code points of the larger scripts.
 SCRIPTS = {
     "latin": ((0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFF21, 0xFF5A)),
@@ -223,16 +225,16 @@ def _run(docs: DataFrame, model: Model, keep: list[str], text: str, columns: str
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                values = rows(own, label(own, part.column(len(kept)).to_pylist()))
+                values = rows(own, part.column(len(kept)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), *values[1]], names=[*keep, *values[0]])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     return docs.select(*keep, F.col(text).alias(read)).mapInArrow(run, f"{fields}, {columns}")
 
 
-def _verdicts(model: Model, labelled):
+def _verdicts(model: Model, texts: list[str | None]):
     names, scores = [], []
-    for _, lengths, labels in labelled:
+    for _, lengths, labels in label(model, texts):
         if not len(labels) or not model.languages:
             names.append("und")
             scores.append(0.0)
@@ -249,9 +251,9 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str
     return _run(docs, model, [id_column], text, "lang_pred string, score double", _verdicts)
 
 
-def _spans(model: Model, labelled):
+def _spans(model: Model, texts: list[str | None]):
     out = []
-    for starts, lengths, labels in labelled:
+    for starts, lengths, labels in label(model, texts):
         if not len(labels) or not model.languages:
             out.append([])
             continue
@@ -271,8 +273,26 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.pmod(crc32_text(id_column), F.lit(4)) == 2
 
 
+def known_share(model: Model, text: str | None) -> float:
+    """The share of a text's letters that are in scripts training has seen."""
+    letters = np.zeros(OTHER + 1, np.int64)
+    points = code_points(text) if text else np.zeros(0, np.uint32)
+    for low in range(0, len(points), BLOCK):
+        letters += np.bincount(script_of()[np.minimum(points[low : low + BLOCK], 0x10FFFF)], minlength=OTHER + 1)
+    letters[0] = 0
+    return float(letters[~model.neutral].sum() / max(1, letters.sum()))
+
+
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents that have a language, with their own columns."""
-    verdict, score = fresh(docs, "lang_pred", "score")
-    rows = lambda model, labelled: ([verdict, score], _verdicts(model, labelled)[1])
-    return _run(docs, model, docs.columns, text, f"`{verdict}` string, `{score}` double", rows).where(F.col(verdict) != "und").drop(verdict, score)
+    """The documents that have a language, with their own columns.
+
+    At least KNOWN_SHARE of a document's letters must be in scripts that training has seen: the words
+    of other scripts score 0 in every language, so that they say nothing of the one found.
+    """
+    (verdict,) = fresh(docs, "lang_pred")
+
+    def rows(model, texts):
+        names = _verdicts(model, texts)[1][0].to_pylist()
+        return [verdict], [pa.array([n if n == "und" or known_share(model, t) >= KNOWN_SHARE else "und" for n, t in zip(names, texts)], pa.string())]
+
+    return _run(docs, model, docs.columns, text, f"`{verdict}` string", rows).where(F.col(verdict) != "und").drop(verdict)

@@ -150,6 +150,14 @@ def test_language_spans(spark, messy, rows, empty):
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
 
 
+def test_scripts_that_training_never_saw_are_rejected(spark):
+    model = langid.fit(training(spark), F.lit(True))
+    texts = ["漢字 漢字漢字", "漢字 the and of with that", "漢字漢字漢字漢字 the", "ελληνικά", "это как", "the", "漢漢 of", "123", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in langid.keep_identified(df, model).collect()) == [1, 4, 5, 6]
+    assert langid.keep_identified(training(spark), model).count() == training(spark).count()
+
+
 def test_language_without_training(spark, messy):
     model = langid.fit(training(spark), F.lit(False))
     assert {(r.lang_pred, r.score) for r in langid.identify(messy, model).collect()} == {("und", 0.0)}

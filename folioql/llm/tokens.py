@@ -386,7 +386,12 @@ def encoder(path: str, lexicon=None, version: str = "", shown: bool = True) -> E
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent pre-tokens of all texts.  Tasks count everything they read and report words seen REPORT_FROM times."""
+    """About the most frequent pre-tokens of all texts.
+
+    Counts are lower bounds that depend on the partitions: a task reports only chunks that it saw
+    REPORT_FROM times and that have at most MEMO_CHARS characters.  Encodings do not depend on them,
+    for words outside the lexicon are merged exactly.
+    """
 
     def count(batches):
         seen: Counter = Counter()

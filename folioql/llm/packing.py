@@ -5,10 +5,14 @@ a capacity for each.  Longest pieces go first; a piece goes to the open sequence
 under every constraint and that has the smallest weighted norm of residual capacities afterwards
 (`rule="norm"`) or the largest weighted dot product of demands and residuals (`rule="dot"`).
 
-Pieces are packed in cells dealt out by a hash of (document, piece): a cell has about `cell_rows`
-pieces whatever the corpus, and leaves at most its last few sequences part-filled, so the loss
-against one global packing is a few sequences in some thousands.  No cell depends on a key's
-frequency, so hot sources and groups of copies spread evenly.
+With the default capacities only tokens can bind (a sequence of 2048 tokens has at most 2048 documents,
+and no more attention cost than one full piece), so the weights choose between pieces' equals only;
+`max_documents` or `max_attention` below that make the other two bind, and the tests hold such runs.
+
+Pieces are written once, without their ids, and packed in cells dealt out by a hash of their row in
+that table: a cell has about `cell_rows` pieces whatever the corpus, and leaves at most its last few
+sequences part-filled, so the loss against one global packing is a few sequences in some thousands.
+No cell depends on any value, so hot sources, groups of copies and repeated ids spread evenly.
 
 Edge cases: null and empty texts are one piece, the separator alone.  Longer documents are cut into
 full pieces and a remainder; nothing else is cut.  Repeated rows are packed as rows of their own.
@@ -24,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioql.llm._common import batches_of
+from folioql.llm._common import batches_of, cut
 from folioql.llm.tokens import encoder
 
 MAX_TOKENS = 2048
@@ -48,9 +52,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS,
                     raw += tail
                     for piece, low in enumerate(range(0, len(raw), 4 * max_tokens)):
                         body = raw[low : low + 4 * max_tokens]
-                        row = (key, piece, low // 4, len(body) // 4, zlib.crc32(body), np.frombuffer(body, "<u4").tolist())
+                        row = (key, piece, low // 4, len(body) // 4, zlib.crc32(body))
                         for values, v in zip(out.values(), row):
                             values.append(v)
+                        if with_ids:
+                            out["ids"].append(np.frombuffer(body, "<u4").tolist())
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(out, types)], names=list(out))
 
     kind = docs.schema[id_column].dataType.simpleString()
@@ -97,15 +103,16 @@ def best_fit(lengths: np.ndarray, max_tokens: int, max_documents: int, max_atten
     return bins, offsets
 
 
-def pack(pieces: DataFrame, rows: int, max_tokens: int = MAX_TOKENS, max_documents: int | None = None, max_attention: int | None = None, id_column: str = "doc_id", cell_rows: int = CELL_ROWS, weights=WEIGHTS, rule: str = "norm") -> DataFrame:
-    """`pieces` with sequence_id and offset.  `rows` (about how many documents there are) sets the number of cells.
+def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, max_documents: int | None = None, max_attention: int | None = None, id_column: str = "doc_id", cell_rows: int = CELL_ROWS, weights=WEIGHTS, rule: str = "norm") -> DataFrame:
+    """`pieces` with sequence_id and offset.
 
     By default only tokens bind: at most one document per token, and the cost of one full piece.
     """
     documents, attention = max_documents or max_tokens, max_attention or max_tokens**2
     if attention < max_tokens**2:
         raise ValueError("max_attention must admit one full piece")
-    cells = max(1, -(-rows // cell_rows))
+    pieces = cut(pieces)  # what follows numbers its rows
+    cells = max(1, -(-pieces.count() // cell_rows))
 
     def run(cell: pa.Table) -> pa.Table:
         # ties are broken by the piece's own values, so that a lost task gives the same packing again
@@ -115,11 +122,11 @@ def pack(pieces: DataFrame, rows: int, max_tokens: int = MAX_TOKENS, max_documen
         return cell.drop_columns("cell").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offsets))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    celled = pieces.withColumn("cell", F.pmod(F.xxhash64(id_column, "piece"), F.lit(cells)))
+    celled = pieces.withColumn("cell", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(cells)))
     return celled.groupBy("cell").applyInArrow(run, f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """Tokenise and pack whole documents."""
     max_tokens = limits.get("max_tokens", MAX_TOKENS)
-    return pack(token_pieces(docs, vocabulary, max_tokens, id_column=id_column, text=text), docs.count(), id_column=id_column, **limits)
+    return pack(token_pieces(docs, vocabulary, max_tokens, id_column=id_column, text=text), id_column=id_column, **limits)

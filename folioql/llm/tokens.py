@@ -27,7 +27,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioql.llm._common import batches_of, cut, most_frequent, worker_slot
+from folioql.llm.wordhash import Index, Words, grouped
 
 #: Distinct chunks a worker remembers (half as many with their decoded text); the longest it remembers.
 MEMO_ENTRIES, MEMO_CHARS = 1_000_000, 64
@@ -43,6 +44,10 @@ LOCKSTEP = 32
 #: A task reports a word to the lexicon count once it has seen it this often.
 REPORT_FROM = 8
 LEXICON_WORDS = 65_536
+#: Rank of a pair that does not merge.
+UNMERGED = 1 << 30
+#: ASCII signs that are one pre-token when they follow a word; an apostrophe may begin one of its own.
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_symbols() -> list[str]:
@@ -94,7 +99,7 @@ class WordBpe:
         raws = [w.encode("utf-8") for w in words]
         lengths = np.fromiter(map(len, raws), np.int64, len(raws))
         out: list = [None] * len(raws)
-        for low, high in ((0, 8), (8, 16), (16, LOCKSTEP)):
+        for low, high in ((0, 6), (6, 9), (9, 12), (12, 16), (16, LOCKSTEP)):
             for at in np.array_split(np.flatnonzero((lengths > low) & (lengths <= high)), max(1, len(raws) // 50_000)):
                 if len(at):
                     for k, ids in zip(at.tolist(), self._lockstep([raws[k] for k in at], lengths[at], high)):
@@ -103,47 +108,50 @@ class WordBpe:
 
     def _lockstep(self, raws: list[bytes], lengths: np.ndarray, width: int) -> list[bytes]:
         if not hasattr(self, "pair_keys"):
-            pairs = sorted((a << 32 | b, r, c) for (a, b), (r, c) in self.merges.items())
-            self.pair_keys, self.pair_ranks, self.pair_new = (np.array(x, np.int64) for x in zip(*pairs))
-            self.inner_ids, self.last_ids = np.array(self.inner, np.int64), np.array(self.last, np.int64)
-        none = np.int64(1 << 40)
+            pairs = sorted((a << 32 | b, r) for (a, b), (r, _) in self.merges.items())
+            self.pair_keys, self.pair_ranks = np.array([k for k, _ in pairs], np.int64), np.array([r for _, r in pairs], np.int32)
+            self.made = np.array([new for _, (_, new) in sorted((r, (r, new)) for r, new in self.merges.values())], np.int32)
+            # the pairs that words start with are of bytes: a table of all of them
+            self.byte_ids = np.array([*self.inner, *self.last], np.int32)
+            self.byte_ranks = np.array([[self.merges.get((a, b), (UNMERGED,))[0] for b in self.byte_ids.tolist()] for a in self.inner], np.int32)
 
         def look(a, b):
-            key = a << 32 | b
+            key = a.astype(np.int64) << 32 | b
             at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            ok = (self.pair_keys[at] == key) & (a >= 0) & (b >= 0)
-            return np.where(ok, self.pair_ranks[at], none), np.where(ok, self.pair_new[at], -1)
+            return np.where((self.pair_keys[at] == key) & (b >= 0), self.pair_ranks[at], np.int32(UNMERGED))
 
         n = len(raws)
-        data = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raws), np.uint8).reshape(n, width)
-        ids = np.full((n, width + 2), -1, np.int64)
         columns = np.arange(width)
-        ids[:, :width] = np.where(columns < lengths[:, None], self.inner_ids[data], -1)
-        ids[np.arange(n), lengths - 1] = self.last_ids[data[np.arange(n), lengths - 1]]
-        ranks, new = np.full((n, width + 1), none), np.full((n, width + 1), -1, np.int64)
-        ranks[:, :width], new[:, :width] = look(ids[:, :width], ids[:, 1 : width + 1])
-        rows = np.arange(n)
-        spread = np.arange(width + 1)
+        data = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raws), np.uint8).reshape(n, width).astype(np.int64)
+        data += 256 * (columns == lengths[:, None] - 1)
+        inside = columns < lengths[:, None]
+        ids = np.full((n, width + 1), -1, np.int32)
+        ids[:, :width] = np.where(inside, self.byte_ids[data], -1)
+        ranks = np.full((n, width + 1), UNMERGED, np.int32)
+        ranks[:, : width - 1] = np.where(inside[:, 1:], self.byte_ranks[data[:, :-1] & 255, data[:, 1:]], UNMERGED)
+        rows, open_ids, open_ranks = np.arange(n), ids, ranks
+        spread = np.arange(width)
         while len(rows):
-            best = ranks[rows].argmin(axis=1)
-            more = ranks[rows, best] < none
-            rows, best = rows[more], best[more]
+            best = open_ranks.argmin(axis=1)
+            low = open_ranks[np.arange(len(rows)), best]
+            more = low < UNMERGED
+            if not more.all():  # words without a merge left are done
+                ids[rows[~more]] = open_ids[~more]
+                rows, best, low, open_ids, open_ranks = rows[more], best[more], low[more], open_ids[more], open_ranks[more]
             if not len(rows):
                 break
-            merged = new[rows, best]
             # close the gap behind the merged pair
+            k = np.arange(len(rows))
             take = spread + (spread > best[:, None])
-            block = ids[rows]
-            ids[rows, : width + 1] = np.take_along_axis(block, take, 1)
-            ids[rows, width + 1] = -1
-            ids[rows, best] = merged
-            for grid, fill in ((ranks, none), (new, -1)):
-                block = np.concatenate([grid[rows], np.full((len(rows), 1), fill)], axis=1)
-                grid[rows] = np.take_along_axis(block, take, 1)
-            ranks[rows, best], new[rows, best] = look(merged, ids[rows, best + 1])
-            has = best > 0
-            r, b = rows[has], best[has] - 1
-            ranks[r, b], new[r, b] = look(ids[r, b], merged[has])
+            open_ids[:, :width] = np.take_along_axis(open_ids, take, 1)
+            open_ranks[:, :width] = np.take_along_axis(open_ranks, take, 1)
+            open_ids[:, width], open_ranks[:, width] = -1, UNMERGED
+            merged = self.made[low]
+            open_ids[k, best] = merged
+            open_ranks[k, best] = look(merged, open_ids[k, best + 1])
+            has = np.flatnonzero(best > 0)
+            before = best[has] - 1
+            open_ranks[has, before] = look(open_ids[has, before], merged[has])
         kept = ids >= 0
         flat = ids[kept].astype("<u4").tobytes()
         ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
@@ -201,6 +209,18 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
+#: White space of more than one byte, and the signs that only Python takes for white space.
+_WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WIDE_BYTES = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+
+def spaced(text: str) -> bytes:
+    """The text in UTF-8 with one-byte white space (20 and 09-0D) between its chunks, and none inside them."""
+    if _WIDE_SPACE.search(text) if text.isascii() else _WIDE_BYTES.search(text.encode("utf-8")):
+        text = " ".join(chunks_of(text))
+    return text.encode("utf-8")
+
+
 # --- the transducer ---------------------------------------------------------------------------
 
 
@@ -310,31 +330,39 @@ class Encoder:
         self.bpe = WordBpe(path)
         self.lexicon = Transducer(lexicon) if lexicon else None
         self.shown, self.most = shown, MEMO_ENTRIES // (2 if shown else 1)
-        self.memo: dict[str, bytes | tuple[bytes, str]] = {}
-
-    def learn(self, fresh: set[str]) -> dict[str, bytes | tuple[bytes, str]]:
-        """Entries for chunks that the memo does not hold."""
-        single, several, split = {}, {}, self.bpe.split
-        for c in fresh:
-            if c.isalpha() and c.isascii():
-                single[c] = c.lower()
-            else:
+        self.memo: dict[str, tuple[bytes, str]] = {}
+        self.index, self.starts, self.flat = Index(), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def known(self, words: list[str]) -> list[bytes | None]:
+        """The ids of words that are chunks of the memo."""
+        return [e[0] if e else None for e in map(self.memo.get, words)]
+
+    def learn(self, fresh: Iterable[str]) -> dict[str, bytes]:
+        """The ids of chunks that the memo does not hold."""
+        listed, several, words, split = list(fresh), {}, {}, self.bpe.split
+        # no chunk holds white space, so all can be lowered at once
+        lows = unicodedata.normalize("NFC", "\n".join(listed)).replace("Σ", "σ").lower().split("\n")
+        cores = [low.rstrip(TAIL) for low in lows]
+        simple = [core.isalpha() for core in cores]  # one word, maybe with signs behind it
+        for c, ok in zip(listed, simple):
+            if not ok:
                 several[c] = split(c)
-        unseen = list({*single.values(), *(w for p in several.values() for w in p if isinstance(w, str))})
+        tails = [low[len(core) :] for low, core in zip(lows, cores)]
+        unseen = {*compress(cores, simple), *compress(tails, simple), *(w for p in several.values() for w in p if isinstance(w, str))}
+        unseen.discard("")
+        words[""] = b""
+        own = [w for w in unseen if w.isascii() and w.isalpha()]  # such a word may be a chunk of the memo
+        words.update((w, ids) for w, ids in zip(own, self.known(own)) if ids is not None)
+        unseen.difference_update(words)
+        todo = list(unseen)
         if self.lexicon:
-            found = self.lexicon.find([w.encode("utf-8") for w in unseen]).tolist()
-            words = {w: self.lexicon.ids(number) for w, number in zip(unseen, found) if number >= 0}
-            unseen = [w for w, number in zip(unseen, found) if number < 0]
-        else:
-            words = {}
-        words.update(zip(unseen, self.bpe.merge_many(unseen)))
-        out: dict = {c: words[w] for c, w in single.items()}
+            found = self.lexicon.find([w.encode("utf-8") for w in todo]).tolist()
+            words |= {w: self.lexicon.ids(number) for w, number in zip(todo, found) if number >= 0}
+            todo = [w for w, number in zip(todo, found) if number < 0]
+        words.update(zip(todo, self.bpe.merge_many(todo)))
+        out = {c: words[core] + words[tail] for c, core, tail, ok in zip(listed, cores, tails, simple) if ok}
         for c, p in several.items():
             out[c] = b"".join([words[w] if isinstance(w, str) else struct.pack("<I", w) for w in p])
-        if self.shown:
-            token_of = self.bpe.token_of
-            for c, ids in out.items():
-                out[c] = ids, " ".join([token_of[i] for i in memoryview(ids).cast("I")])
         return out
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
@@ -344,19 +372,46 @@ class Encoder:
                 yield b"".join([e[0] for e in got]), " ".join([e[1] for e in got])
 
     def ids_batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids alone (of an encoder made with shown=False)."""
-        for group in groups_of(texts):
-            for got in self.lookup(group):
-                yield b"".join(got)
-
-    def lookup(self, group: list[list[str]]) -> list[list]:
-        """The entries of lists of chunks."""
+        """The ids alone.  Chunks are told by their hashes, and their ids gathered for whole groups of texts at once."""
+        for words in grouped([spaced(t) if t else b"" for t in texts]):
+            if len(words):
+                hashes, first, signs, kinds = words.distinct()
+                number = self.index.find(hashes, signs)
+                if len(new := np.flatnonzero(number < 0)):
+                    number[new] = self._remember(hashes[new], signs[new], words.words(first[new]))
+                number = number[kinds]
+                lows, sizes = self.starts[number], self.starts[number + 1] - self.starts[number]
+                ends = np.cumsum(sizes)
+                ids = self.flat[np.repeat(lows - ends + sizes, sizes) + np.arange(ends[-1])]
+                ends = np.concatenate([[0], ends])[words.bounds].tolist()
+            else:
+                ids, ends = self.flat[:0], [0] * len(words.bounds)
+            for a, b in zip(ends, ends[1:]):
+                yield ids[a:b].tobytes()
+            if len(self.index) > self.most or len(self.flat) > 16 * self.most:
+                kept = min(len(self.index), self.most // 2, int(np.searchsorted(self.starts, 8 * self.most)))
+                self.index.keep(kept)
+                self.starts = self.starts[: kept + 1].copy()
+                self.flat = self.flat[: self.starts[-1]].copy()
+
+    def _remember(self, hashes: np.ndarray, signs: np.ndarray, chunks: list[bytes]) -> np.ndarray:
+        texts = [c.decode("utf-8") for c in chunks]
+        ids = self.learn(texts)
+        ids = [ids[t] for t in texts]
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(i) // 4 for i in ids])])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        return self.index.add(hashes, signs)
+
+    def lookup(self, group: list[list[str]]) -> list[list[tuple[bytes, str]]]:
+        """The ids and decoded texts of lists of chunks."""
         collecting = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and the collector would walk the memo again and again
         got = [list(map(self.memo.get, chunks)) for chunks in group]
         short = [k for k, g in enumerate(got) if None in g]
         if short:
+            token_of = self.bpe.token_of
             new = self.learn({c for k in short for c, e in zip(group[k], got[k]) if e is None})
+            new = {c: (ids, " ".join([token_of[i] for i in memoryview(ids).cast("I")])) for c, ids in new.items()}
             for k in short:
                 got[k] = [new[c] if e is None else e for c, e in zip(group[k], got[k])]
             if len(self.memo) + len(new) > self.most:
@@ -367,6 +422,18 @@ class Encoder:
         return got
 
 
+class IdEncoder(Encoder):
+    """An encoder whose memo is arrays: ids only."""
+
+    def known(self, words: list[str]) -> list[bytes | None]:
+        if not words or not len(self.index):
+            return [None] * len(words)
+        asked = Words([w.encode("ascii") for w in words])
+        numbers = self.index.find(asked.hashes, asked.signatures())
+        lows, highs = self.starts[numbers].tolist(), self.starts[numbers + 1].tolist()
+        return [self.flat[a:b].tobytes() if n >= 0 else None for n, a, b in zip(numbers.tolist(), lows, highs)]
+
+
 def groups_of(texts: list[str | None], most: int = 400_000) -> Iterator[list[list[str]]]:
     """Lists of the chunks of each text, about `most` chunks together, so that memory follows neither batches nor texts."""
     group, n = [], 0
@@ -382,7 +449,7 @@ def groups_of(texts: list[str | None], most: int = 400_000) -> Iterator[list[lis
 
 def encoder(path: str, lexicon=None, version: str = "", shown: bool = True) -> Encoder:
     """The encoder of this worker process; `lexicon` is a broadcast."""
-    return worker_slot(("bpe", path, version, shown), lambda: Encoder(path, lexicon.value if lexicon is not None else None, shown))
+    return worker_slot(("bpe", path, version, shown), lambda: (Encoder if shown else IdEncoder)(path, lexicon.value if lexicon is not None else None, shown))
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:

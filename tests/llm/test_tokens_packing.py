@@ -88,3 +88,24 @@ def test_every_constraint_holds(rule):
         assert own.sum() <= 512 and len(own) <= 5 and (own.astype(float) ** 2).sum() <= 512 * 512
     loose, _ = packing.best_fit(lengths, 512, 512, 512 * 512, rule=rule)
     assert loose.max() + 1 <= -(-lengths.sum() // 512) + 2
+
+
+def test_one_repeated_id_spreads_over_cells(spark):
+    pieces = spark.range(40_000).selectExpr("7L AS doc_id", "0 AS piece", "0L AS start", "cast(1 + id % 90 AS long) AS length", "5L AS ids_crc32").repartition(3)
+    got = packing.pack(pieces, max_tokens=256, cell_rows=8192).selectExpr("sequence_id >> 32 AS cell", "sequence_id", "length").collect()
+    cells = [r.cell for r in got]
+    assert len(got) == 40_000 and len(set(cells)) == 5 and max(cells.count(c) for c in set(cells)) < 10_000
+    filled = {}
+    for r in got:
+        filled[r.sequence_id] = filled.get(r.sequence_id, 0) + r.length
+    assert max(filled.values()) <= 256 and len(filled) <= 1.01 * -(-sum(r.length for r in got) // 256) + 5
+
+
+def test_documents_and_attention_bind_where_they_are_smaller(spark):
+    pieces = spark.range(2000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "cast(1 + id * 7 % 256 AS long) AS length", "id AS ids_crc32")
+    got = packing.pack(pieces, max_tokens=512, max_documents=3, max_attention=300_000, weights=(1.0, 0.5, 0.5)).collect()
+    filled = {}
+    for r in got:
+        filled.setdefault(r.sequence_id, []).append(r.length)
+    assert max(map(len, filled.values())) == 3 and max(map(sum, filled.values())) <= 512
+    assert max(sum(n * n for n in own) for own in filled.values()) <= 300_000

@@ -15,15 +15,18 @@ share.  So:
    it meets; then only pairs that are still in different components, in blocks of bounded size;
 5. links make components.
 
-Every link between different components is verified on whole sets, once; links inside a component
-that is already known change nothing and are not looked for.
+Every pair is verified on whole sets, once; links inside a component that is already known change
+nothing and are not looked for.  Sets hold 64-bit hashes of shingles: two sets of some thousand
+shingles meet a false common hash with a chance of about 10^-12.
 
 Counting is done on packed arrays: a task sends a bucket of hashes as one byte string, and gets a
-byte string of counts back, so the shuffle holds 6 to 10 bytes a shingle and no key is hot.
+byte string of counts back, so the shuffle holds 6 to 10 bytes a shingle and no key is hot.  Buckets
+are ranges of hashes; there are as many as bound the elements of each, whatever the corpus.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and no link.  With fewer
 than `n` words the whole sequence is one shingle.  Texts of any length are read whole.  Rows that
-share an id are one node of the graph.  Rows without an id are counted but have no component.
+share an id are one node of the graph.  Rows without an id are counted but have no component.  Ids
+must be whole numbers or cast to them; others raise in ANSI mode.
 An empty table gives no rows.  Extra columns are ignored.
 """
 
@@ -39,8 +42,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from folioql.llm._common import attach_groups, batches_of, cut, fresh, worker_slot
+from folioql.llm._common import attach_groups, batches_of, cut, fresh
 from folioql.llm.graph import connected_components
+from folioql.llm.wordhash import MULTIPLIER, grouped, mix
 
 N, PERCENT = 5, 80
 #: Share of the shingles that the first count looks at.
@@ -51,60 +55,21 @@ BLOCK = 512
 SKETCH_BITS = 1024
 #: A batch of sets closes at so many documents or elements.
 BATCH_SETS, BATCH_ELEMENTS = 4096, 1_000_000
-_GROUP_BYTES = 4 << 20
-_MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (constants of the public splitmix64 generator)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Powers:
-    """Powers of an odd multiplier and of its inverse, modulo 2^64."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, _GROUP_BYTES + 1024)
-            inverse = pow(_MULTIPLIER, -1, 1 << 64)
-            self.up, self.down = (np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, m, np.uint64))]) for m in (_MULTIPLIER, inverse))
-        return self.up[:n], self.down[:n]
-
-
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the words of lower-cased bytes (white space: 20 and 09-0D)."""
-    data = np.frombuffer(raw, np.uint8)
-    space = (data == 0x20) | ((data >= 9) & (data <= 13))
-    edges = np.flatnonzero(np.diff(np.concatenate([[1], space.view(np.int8), [1]])))
-    starts, ends = edges[::2], edges[1::2]
-    up, down = worker_slot("powers", _Powers).of(len(data) + 1)
-    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1])])
-    return _mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
+#: A bucket has about so many elements at most.
+BUCKET_ELEMENTS = 16_000_000
 
 
 def shingle_sets(texts: list[str | None], n: int = N):
     """For each text the sorted distinct shingle hashes and a digest of the word sequence (None without words)."""
-    run, held = [], 0
-    for k, t in enumerate(texts):
-        run.append(t.encode("utf-8").lower() if t else b"")
-        held += len(run[-1]) + 1
-        if held >= _GROUP_BYTES or k == len(texts) - 1:
-            yield from _sets(run, n)
-            run, held = [], 0
-
-
-def _sets(run: list[bytes], n: int):
-    words, starts = word_hashes(b"\n".join(run))
-    bounds = np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in run)]))
+    for words in grouped([t.encode("utf-8").lower() if t else b"" for t in texts]):
+        yield from _sets(words.hashes, words.bounds, n)
+
+
+def _sets(words: np.ndarray, bounds: np.ndarray, n: int):
     shingles = words[: max(0, len(words) - n + 1)].copy()
     for k in range(1, n):
-        shingles = _mix(shingles) + words[k : len(words) - n + 1 + k]
-    shingles = _mix(shingles)
+        shingles = mix(shingles) + words[k : len(words) - n + 1 + k]
+    shingles = mix(shingles)
     for a, b in zip(bounds[:-1], bounds[1:]):
         if b - a >= n:
             yield np.unique(shingles[a : b - n + 1]), hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
@@ -119,8 +84,14 @@ def _table(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in kinds.items()], names=list(kinds))
 
 
-def _buckets(df: DataFrame) -> int:
-    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _buckets(df: DataFrame, elements: int) -> int:
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-elements // BUCKET_ELEMENTS))
+
+
+def _spread(batch: int, rows: int, buckets: int) -> list[int]:
+    """A bucket for each row of a batch, by a mixed hash of its place."""
+    place = np.uint64(batch) * np.uint64(MULTIPLIER) + np.arange(rows, dtype=np.uint64)
+    return (mix(mix(place)) % np.uint64(buckets)).astype(np.int64).tolist()
 
 
 def _dealt(sets: list[np.ndarray], buckets: int, width: int):
@@ -162,7 +133,8 @@ def _numbered(rows):
 
 def _described(docs: DataFrame, id_column: str, text: str, n: int, percent: int, share: float) -> DataFrame:
     """id, digest, size n and `own`, the shingles in the counted part that no other document holds."""
-    buckets = _buckets(docs)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text) + 1), F.lit(0))).first()[0]
+    buckets = _buckets(docs, int(share * size) // 2)  # a word takes two bytes at least
     kind = docs.schema[id_column].dataType
     key = to_arrow_type(kind)
     wire = {"bucket": pa.int32(), "batch": pa.int64(), "elements": pa.binary(), "owners": pa.binary(), "at": pa.int32(), "id": key, "digest": pa.binary(), "n": pa.int64()}
@@ -171,11 +143,11 @@ def _described(docs: DataFrame, id_column: str, text: str, n: int, percent: int,
     def send(batches):
         for batch, group in _numbered(_each(batches, id_column, text, n)):
             out: dict[str, list] = {k: [] for k in wire}
-            for at, (i, own, digest) in enumerate(group):
-                for k, v in zip(wire, (batch % buckets, batch, None, None, at, i, digest, len(own))):
+            for at, (bucket, (i, own, digest)) in enumerate(zip(_spread(batch, len(group), buckets), group)):
+                for k, v in zip(wire, (bucket, batch, None, None, at, i, digest, len(own))):
                     out[k].append(v)
             # hashes are mixed again, so that the counted part is spread over all buckets
-            for b, e, o in _dealt([own[_mix(own) <= bound] for _, own, _ in group], buckets, 4):
+            for b, e, o in _dealt([own[mix(own) <= bound] for _, own, _ in group], buckets, 4):
                 for k, v in zip(wire, (b, batch, e, o, None, None, None, None)):
                     out[k].append(v)
             yield _table(out, wire)
@@ -231,8 +203,8 @@ def _alive_sets(docs: DataFrame, alive: DataFrame, id_column: str, text: str, n:
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """For sets that may have a link: id, n, shared, sketch, and the postings of its prefix (shingle, place)."""
-    buckets = _buckets(sets)
-    wire = {"bucket": pa.int32(), "batch": pa.int64(), "elements": pa.binary(), "at": pa.int32(), "id": pa.int64(), "set": pa.binary()}
+    buckets = _buckets(sets, sets.agg(F.coalesce(F.sum(F.octet_length("set")), F.lit(0))).first()[0] // 8)
+    wire = {"bucket": pa.int32(), "batch": pa.int64(), "elements": pa.binary()}
 
     def send(batches):
         group: dict = {}
@@ -240,42 +212,27 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
         def flush():
             for batch, rows in group.items():
                 rows.sort(key=lambda r: r[0])
-                out: dict[str, list] = {k: [] for k in wire}
-                for at, i, raw in rows:
-                    for k, v in zip(wire, (batch % buckets, batch, None, at, i, raw)):
-                        out[k].append(v)
-                for b, e, _ in _dealt([np.frombuffer(r[2], np.uint64) for r in rows], buckets, 8):
-                    for k, v in zip(wire, (b, batch, e, None, None, None)):
-                        out[k].append(v)
-                yield _table(out, wire)
+                dealt = [(b, batch, e) for b, e, _ in _dealt([np.frombuffer(raw, np.uint64) for _, raw in rows], buckets, 8)]
+                yield _table(dict(zip(wire, map(list, zip(*dealt)))) if dealt else {k: [] for k in wire}, wire)
             group.clear()
 
         for part in batches:
-            for batch, at, i, raw in zip(*batches_of(part, "batch", "at", "id", "set")):
+            for batch, at, raw in zip(*batches_of(part, "batch", "at", "set")):
                 if batch not in group and group:
                     yield from flush()
-                group.setdefault(batch, []).append((at, i, raw))
+                group.setdefault(batch, []).append((at, raw))
         yield from flush()
 
-    back = {"batch": pa.int64(), "bucket": pa.int32(), "counts": pa.binary(), "at": pa.int32(), "id": pa.int64(), "set": pa.binary()}
-
-    def count(table: pa.Table) -> pa.Table:
-        rows = table.filter(pc.is_valid(table["at"]))
-        rows = pa.table({k: rows[k] if k in rows.column_names and k != "bucket" else pa.nulls(len(rows), t) for k, t in back.items()})
-        blobs = table.filter(pc.is_valid(table["elements"]))
-        if not len(blobs):
-            return rows
+    def count(blobs: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, "<u8") for x in blobs["elements"].to_pylist()]
         _, inverse, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
         split = np.split(np.minimum(counts, 65535)[inverse].astype("<u2"), np.cumsum([len(p) for p in parts])[:-1])
-        out = {"batch": blobs["batch"], "bucket": blobs["bucket"], "counts": pa.array([s.tobytes() for s in split], pa.binary())}
-        return pa.concat_tables([rows, pa.table({k: out[k].combine_chunks() if k in out and hasattr(out[k], "combine_chunks") else out[k] if k in out else pa.nulls(len(blobs), t) for k, t in back.items()})])
+        return pa.table({"batch": blobs["batch"], "bucket": blobs["bucket"], "counts": pa.array([x.tobytes() for x in split], pa.binary())})
 
     done = {"id": pa.int64(), "n": pa.int64(), "shared": pa.int64(), "sketch": pa.binary(), "set": pa.binary(), "shingles": pa.list_(pa.int64()), "places": pa.list_(pa.int64())}
 
-    def order(table: pa.Table) -> pa.Table:
-        rows = table.filter(pc.is_valid(table["at"])).sort_by("at")
-        blobs = table.filter(pc.is_valid(table["counts"])).sort_by("bucket")
+    def order(rows: pa.Table, blobs: pa.Table) -> pa.Table:
+        rows, blobs = rows.sort_by("at"), blobs.sort_by("bucket")
         raws = rows["set"].to_pylist()
         sets_ = [np.frombuffer(r, np.uint64) for r in raws]
         elements = np.concatenate(sets_)
@@ -298,9 +255,10 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
                 out[k].append(v)
         return pa.table({k: pa.array(out[k], t) for k, t in done.items()})
 
-    sent = sets.mapInArrow(send, "bucket int, batch long, elements binary, at int, id long, set binary")
-    counted = sent.groupBy("bucket").applyInArrow(count, "batch long, bucket int, counts binary, at int, id long, set binary")
-    return counted.groupBy("batch").applyInArrow(order, "id long, n long, shared long, sketch binary, set binary, shingles array<long>, places array<long>")
+    sent = sets.mapInArrow(send, "bucket int, batch long, elements binary")
+    counted = sent.groupBy("bucket").applyInArrow(count, "batch long, bucket int, counts binary")
+    # the sets themselves only move to their batch's counts
+    return sets.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(order, "id long, n long, shared long, sketch binary, set binary, shingles array<long>, places array<long>")
 
 
 # --- 4: pairs -----------------------------------------------------------------------------------
@@ -312,7 +270,11 @@ def _need(n1, n2, percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) that are linked, by their whole sets."""
+    """The pairs (x, y) that are linked, by their whole sets.
+
+    A set that is in many pairs is one key of a sort-merge join without aggregation above it, whose
+    partitions adaptive execution splits.
+    """
     left = sets.select(F.col("id").alias("x"), F.col("set").alias("sx"))
     right = sets.select(F.col("id").alias("y"), F.col("set").alias("sy"))
     both = pairs.join(left, "x").join(right, "y")
@@ -327,7 +289,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     keep.append(k)
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)).take(pa.array(keep, pa.int64())) for c in ("x", "y")], names=["x", "y"])
 
-    return both.select("x", "y", "sx", "sy").mapInArrow(run, "x long, y long").distinct()
+    return both.select("x", "y", "sx", "sy").mapInArrow(run, "x long, y long")
 
 
 def _survivors(percent: int):
@@ -392,7 +354,8 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     pivots = cut(postings.groupBy("h").agg(F.count("*").alias("c"), F.min(central).alias("pivot")).where("c > 1"))
     need = F.ceil(F.lit(percent) * (F.col("n") + F.col("pivot.n2")) / F.lit(100 + percent))
     met = postings.join(pivots, "h").where((F.col("id") != F.col("pivot.y")) & (F.least("shared", "pivot.s2") >= need))
-    first = met.groupBy("id").agg(F.min("pivot").alias("p")).select(F.col("id").alias("x"), F.col("p.y").alias("y"))
+    central = met.groupBy("id").agg(F.min("pivot").alias("p"))
+    first = cut(central.select(F.least("id", "p.y").alias("x"), F.greatest("id", "p.y").alias("y")).distinct())
     sets = members.select("id", "set")
     one = cut(verified(first, sets, percent))
     component = cut(connected_components(one.select(F.col("x").alias("u"), F.col("y").alias("v"))))
@@ -407,7 +370,8 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     side = F.when(a == b, 2).when(F.col("own") == a, 0).otherwise(1)  # 2: both sides
     dealt = dealt.select("h", a.alias("a"), b.alias("b"), side.alias("side"), "id", "n", "shared", "place", "component").join(members.select("id", "sketch"), "id")
     dealt = dealt.repartition("h", "a", "b").sortWithinPartitions("h", "a", "b")
-    two = verified(dealt.mapInArrow(_survivors(percent), "x long, y long").distinct(), sets, percent)
+    met_again = dealt.mapInArrow(_survivors(percent), "x long, y long").distinct()
+    two = verified(met_again.join(first, ["x", "y"], "left_anti"), sets, percent)
     return one.union(two)
 
 

@@ -79,3 +79,21 @@ def test_long_path_is_one_component(spark):
     edges = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     got = connected_components(edges.union(spark.createDataFrame([(1000, 1001)], "u long, v long"))).collect()
     assert {r.node: r.component for r in got} == {**{k: 0 for k in range(201)}, 1000: 1000, 1001: 1000}
+
+
+@pytest.mark.parametrize("buckets", [16, 64, 200])
+def test_rows_of_many_small_batches_fill_all_buckets(buckets):
+    dealt = [b for part in range(100) for b in nj._spread(part << 32, 100, buckets)]
+    sizes = [dealt.count(b) for b in range(buckets)]
+    assert max(sizes) < 2 * len(dealt) / buckets and min(sizes) > len(dealt) / buckets / 2
+    first = {nj._spread(part << 32, 1, buckets)[0] for part in range(20 * buckets)}
+    assert len(first) == buckets
+
+
+def test_long_words_of_a_pattern_keep_apart():
+    bits = "0"
+    while len(bits) < 4096:  # a word and its mirror whose polynomials agree modulo 2^64
+        bits += bits.translate({48: "1", 49: "0"})
+    a, b = bits, bits.translate({48: "1", 49: "0"})
+    (x, _), (y, _) = nj.shingle_sets([a, b])
+    assert list(x) != list(y)

@@ -1,31 +1,36 @@
 """Language-model scores by a log-bilinear model with noise-contrastive estimation (operator 8).
 
-Words are counted over all texts.  The `known_words` most frequent are known to every worker; of
-these the `top_words` most frequent in training are classes of their own, and every other word
-belongs to one of `SPELLING` classes by its spelling.  A class is predicted from the two before it:
+Words are counted over all texts.  The most frequent words are classes of their own, and the others
+belong to spelling classes by their last two bytes and whether they are longer than most; the more
+distinct words a corpus has, the more classes there are (CLASSES_BY, up to MOST_CLASSES).  A class is
+predicted from the two before it:
 
     s(c | a, b) = q_c . (M1 r_a + M2 r_b) + bias_c,        P(c | a, b) = exp s / sum over classes
 
 Parameters are fitted in numpy by noise-contrastive estimation (Mnih and Teh 2012) on all training
 texts: in each epoch every task goes over its own texts, shuffled `sample_tokens` or so at a time,
-and the parameters of the tasks are averaged; biases start from the class frequencies.  Since the score is a sum over the two positions, all normalisers
-are one matrix product of exponentials, and scoring a token is three lookups, exactly normalised.
-A word of a spelling class has its share of the class, (n + 0.5) / (class total + 0.5 (class types + 1)),
-counted over all training texts; so the model is a distribution over words, with one unseen word a class.
+and the parameters of the tasks are averaged; biases start from the class frequencies.  Since the
+score is a sum over the two positions, all normalisers are one matrix product of exponentials, and
+scoring a token is a product of two short vectors, exactly normalised.  A word of a spelling class has
+its share of the class, (n + 0.5) / (class total + 0.5 (class types + 1)), counted over all training
+texts; so the model is a distribution over words, with one unseen word a class.
 
-Rare words never go to the driver: their rows meet the word counts in a shuffled join, in which no
-key is hot, because frequent words (held out or not) are among the known ones.
+Words travel as a 64-bit hash and a signature (wordhash), so long ones cost what short ones do.  Rare
+words never go to the driver: their rows meet the word counts in a shuffled join, in which no key is
+hot, because the `known_words` most frequent of all texts (held out or not) are known to every worker.
 
 Edge cases: null and empty texts are the end token alone.  Words and texts of any length are scored
-whole.  Rows are told apart by a row number, so repeated ids are scored row by row.  Without training
-rows every count is 0 and the model is uniform over classes.  An empty table gives no rows.
+whole.  Rows are told apart by a row number, so repeated ids are scored row by row, and rows without
+an id (their id counts as the empty string) too.  Other columns are ignored, whatever their names.
+Without training rows every count is 0 and the model is uniform over classes.  An empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,27 +39,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioql.llm._common import batches_of, crc32_text, cut, most_frequent
+from folioql.llm.wordhash import MULTIPLIER, Index, Words, grouped, mix
 
-KNOWN_WORDS, TOP_WORDS, SPELLING = 200_000, 1_000, 48
-#: Longer words are never among the known ones, which bounds the broadcast.
-KNOWN_BYTES = 64
+#: Words that every worker knows, by frequency; 28 bytes each.  The others are looked up by a join.
+KNOWN_WORDS = 200_000
+#: There are about CLASSES_BY * sqrt(distinct training words) classes, of which a SPELLING-th part is for spellings.
+CLASSES_BY, LEAST_CLASSES, MOST_CLASSES, SPELLING = 2, 256, 4096, 8
 #: SAMPLE_TOKENS is what a task shuffles at a time and has at least between two averages; all tokens are trained on.
 SAMPLE_TOKENS, DIMENSIONS, NOISE, BATCH, EPOCHS, RATE = 1_500_000, 24, 64, 2048, 3, 0.1
 #: Distinct words a task counts before it hands them on.
-COUNTED = 400_000
-END = b"\n"  # no word holds white space
+COUNTED = 1_000_000
+#: Hash and signature of the end token; no word has suffix 0.
+END = 0
+SUFFIXES = 1 << 17
 
 
-def spelling_class(word: bytes) -> int:
-    """A class from the last two bytes and whether the word is longer than most."""
-    return (zlib.crc32(word[-2:]) + (len(word) > 7)) % SPELLING
+def lowered(text: str | None) -> bytes:
+    """bytes.lower knows A-Z only, as the words of `Words` know only ASCII white space."""
+    return text.encode("utf-8").lower() if text else b""
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words (bytes.lower and bytes.split know ASCII only: A-Z, and space and 09-0D) and the end."""
-    out = text.encode("utf-8").lower().split() if text else []
-    out.append(END)
-    return out
+def suffixes(words: Words, places: np.ndarray) -> np.ndarray:
+    """The last two bytes of words, and whether they are long, as one number."""
+    data, ends, lengths = np.frombuffer(words.raw, np.uint8), words.ends[places], words.lengths[places]
+    if not len(places):
+        return np.zeros(0, np.int64)
+    before = np.where(lengths > 1, data[np.maximum(ends - 2, 0)], 0).astype(np.int64)
+    return before << 9 | data[ends - 1].astype(np.int64) << 1 | (lengths > 7)
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -62,91 +73,123 @@ def held_out(id_column: str = "doc_id") -> Column:
 
 
 def count_words(docs: DataFrame, train: Column, text: str) -> DataFrame:
-    """word, spelling class, and its count in training and in all texts."""
+    """Hash h, signature s and suffix of each word, and its count in training and in all texts."""
 
     def run(batches):
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        index, sums = Index(), np.zeros((3, 0), np.int64)  # suffix, training count, count
+        ends = np.zeros(2, np.int64)
 
-        def report():
-            held, own = seen
-            words = list(held.keys() | own.keys())
-            out = {"word": pa.array(words, pa.binary()), "cls": pa.array([spelling_class(w) for w in words], pa.int32()), "n": pa.array([own[w] for w in words], pa.int64()), "total": pa.array([own[w] + held[w] for w in words], pa.int64())}
-            for c in seen:
-                c.clear()
-            yield from (pa.RecordBatch.from_pydict({k: v.slice(at, 100_000) for k, v in out.items()}) for at in range(0, len(words), 100_000))
+        def report(index, sums):
+            at = np.argsort(index.numbers)
+            columns = (index.hashes[at].view(np.int64), index.signs[at].view(np.int64), *sums)
+            for low in range(0, len(at), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[low : low + 100_000]) for c in columns], names=["h", "s", "suffix", "n", "total"])
 
         for batch in batches:
-            for own, t in zip(*batches_of(batch, "_train", text)):
-                seen[bool(own)].update(tokens_of(t))
-                if len(seen[0]) + len(seen[1]) > COUNTED:
-                    yield from report()
-        yield from report()
-
-    counted = docs.select(train.alias("_train"), F.col(text)).mapInArrow(run, "word binary, cls int, n long, total long")
-    return counted.groupBy("word", "cls").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+            own, texts = batches_of(batch, "_train", text)
+            own, done = np.array(own, bool), 0
+            ends += [own.sum(), len(own)]
+            for words in grouped([lowered(t) for t in texts]):
+                mine = np.repeat(own[done : done + len(words.bounds) - 1], np.diff(words.bounds))
+                done += len(words.bounds) - 1
+                hashes, first, signs, kinds = words.distinct()
+                got = np.stack([np.zeros(len(hashes), np.int64), np.bincount(kinds, mine, len(hashes)).astype(np.int64), np.bincount(kinds, minlength=len(hashes))])
+                number = index.find(hashes, signs)
+                old, new = number >= 0, np.flatnonzero(number < 0)
+                sums[:, number[old]] += got[:, old]
+                got[0] = suffixes(words, first)
+                index.add(hashes[new], signs[new])
+                sums = np.concatenate([sums, got[:, new]], axis=1)
+                if len(index) > COUNTED:
+                    yield from report(index, sums)
+                    index, sums = Index(), np.zeros((3, 0), np.int64)
+        yield from report(index, sums)
+        yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.int64()) for k, v in zip(("h", "s", "suffix", "n", "total"), (END, END, 0, *ends.tolist()))})
+
+    counted = docs.select(train.alias("_train"), F.col(text)).mapInArrow(run, "h long, s long, suffix long, n long, total long")
+    return counted.groupBy("h", "s").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 @dataclass
 class Vocabulary:
-    known: dict[bytes, tuple[int, int]]  # class and training count of the known words
-    classes: int
+    index: Index  # the known words, END first
+    n: np.ndarray  # training count of each known word
+    cls: np.ndarray  # its class
+    spelled: np.ndarray  # class of each suffix
+    top: int  # classes of one word
     counts: np.ndarray  # training tokens of each class
-    inside: np.ndarray  # training tokens of each spelling class
-    types: np.ndarray  # training types of each spelling class
+    room: np.ndarray  # log10 of what a word's count + 0.5 is divided by in its class (0 for classes of one word)
     tokens: int
     distinct: int
 
-    def base(self, n: int | np.ndarray):
-        """log10 of the smoothed unigram probability of a word seen n times."""
-        return np.log10((n + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
-
-    def share(self, n, spelling):
-        """log10 of a word's share of its spelling class."""
-        return np.log10((n + 0.5) / (self.inside[spelling] + 0.5 * (self.types[spelling] + 1)))
-
-
-def vocabulary(words: DataFrame, known_words: int = KNOWN_WORDS, top_words: int = TOP_WORDS) -> Vocabulary:
-    """Bounded parts of the word counts: the known words, and totals by spelling class."""
-    known = most_frequent(words.where(F.octet_length("word") <= KNOWN_BYTES), "total", known_words).toArrow().sort_by([("total", "descending"), ("word", "ascending")]).to_pydict()
-    if END not in known["word"]:  # the end is known in any case, with its own count
-        for r in words.where(F.col("word") == F.lit(END)).collect():
-            for k in known:
-                known[k].append(bytes(r[k]) if k == "word" else r[k])
-    sums = {r["cls"]: (r["n"], r["v"]) for r in words.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).collect()}
-    order = sorted((k for k, n in enumerate(known["n"]) if n > 0), key=lambda k: (-known["n"][k], known["word"][k]))[:top_words]
-    top = {known["word"][k]: i for i, k in enumerate(order)}
-    top.setdefault(END, len(top))  # the end is a class of its own in any case
-    inside, types = np.zeros(SPELLING), np.zeros(SPELLING)
-    for c, (n, v) in sums.items():
-        inside[c], types[c] = n, v
-    counts = np.zeros(len(top) + SPELLING)
-    entries: dict[bytes, tuple[int, int]] = {END: (top[END], 0)}
-    for word, cls, n in zip(known["word"], known["cls"], known["n"]):
-        if word in top:
-            counts[top[word]] += n
-            inside[cls] -= n
-            types[cls] -= n > 0
-        entries[word] = (top[word] if word in top else len(top) + cls, n)
-    counts[len(top) :] = inside
-    return Vocabulary(entries, len(counts), counts, inside, types, int(sum(n for n, _ in sums.values())), int(sum(v for _, v in sums.values())))
+    @property
+    def classes(self) -> int:
+        return len(self.counts)
+
+    @property
+    def total(self) -> float:
+        """log10 of what a count + 0.5 is divided by in the unigram model."""
+        return float(np.log10(self.tokens + 0.5 * (self.distinct + 1)))
+
+
+def vocabulary(words: DataFrame, known_words: int = KNOWN_WORDS, classes: int | None = None) -> Vocabulary:
+    """Bounded parts of the word counts: the known words, and totals by suffix (SUFFIXES at most)."""
+    is_end = (F.col("h") == END) & (F.col("s") == END)
+    known = most_frequent(words.where(~is_end), "total", known_words).union(words.where(is_end)).select("h", "s", "suffix", "n").toArrow()
+    h, s, suffix, n = (known[c].to_numpy() for c in ("h", "s", "suffix", "n"))
+    at = np.lexsort((h, s, -n, (h != END) | (s != END)))  # END first, then by count
+    h, s, suffix, n = h[at], s[at], suffix[at], n[at]
+    if not len(h):  # an empty table has no end either
+        h = s = suffix = n = np.zeros(1, np.int64)
+    sums = words.groupBy("suffix").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("types")).toArrow()
+    inside, types = np.zeros(SUFFIXES), np.zeros(SUFFIXES)
+    inside[sums["suffix"].to_numpy()], types[sums["suffix"].to_numpy()] = sums["n"].to_numpy(), sums["types"].to_numpy()
+    tokens, distinct = int(inside.sum()), int(types.sum())
+    classes = classes or min(MOST_CLASSES, max(LEAST_CLASSES, CLASSES_BY * isqrt(distinct)))
+    spelling = max(2, classes // SPELLING)
+    top = min(classes - spelling, 1 + int(np.count_nonzero(n[1:] > 0)))
+    np.subtract.at(inside, suffix[:top], n[:top])
+    np.subtract.at(types, suffix[:top], (n[:top] > 0).astype(float))
+    # frequent suffixes are classes of their own, the others share the rest
+    own = spelling // 2
+    spelled = (top + own + mix(np.arange(SUFFIXES, dtype=np.uint64) * np.uint64(MULTIPLIER)) % np.uint64(spelling - own)).astype(np.int64)
+    spelled[np.lexsort((np.arange(SUFFIXES), -inside))[:own]] = top + np.arange(own)
+    counts, kinds = (np.bincount(spelled, x, top + spelling) for x in (inside, types))
+    counts[:top] = n[:top]
+    room = np.log10(counts + 0.5 * (kinds + 1))
+    room[:top] = 0
+    cls = spelled[suffix]
+    cls[:top] = np.arange(top)
+    index = Index()
+    index.add(h.view(np.uint64), s.view(np.uint64))
+    return Vocabulary(index, n, cls, spelled, top, counts, room, tokens, distinct)
 
 
 @dataclass
 class Model:
-    first: np.ndarray  # classes x classes: score of c behind a, two back
-    second: np.ndarray  # the same, one back, with the bias
+    first: np.ndarray  # classes x dimensions: what a class two back adds to the context
+    second: np.ndarray  # the same, one back
+    words: np.ndarray  # classes x dimensions
+    bias: np.ndarray
     normal: np.ndarray  # classes x classes: log normaliser of a context
 
-    def log_probabilities(self, before: np.ndarray, last: np.ndarray, target: np.ndarray) -> np.ndarray:
-        return self.first[before, target] + self.second[last, target] - self.normal[before, last]
+    def log_probabilities(self, before: np.ndarray, last: np.ndarray, target: np.ndarray, block: int = 1 << 16) -> np.ndarray:
+        out = np.empty(len(target), np.float64)
+        for low in range(0, len(target), block):
+            a, b, c = before[low : low + block], last[low : low + block], target[low : low + block]
+            context = self.first.take(a, 0)
+            context += self.second.take(b, 0)
+            out[low : low + block] = np.einsum("ij,ij->i", context, self.words.take(c, 0)) + self.bias[c] - self.normal[a, b]
+        return out
 
 
 def tables(r: np.ndarray, q: np.ndarray, m1: np.ndarray, m2: np.ndarray, bias: np.ndarray) -> Model:
-    """All scores and normalisers as matrix products."""
-    first, second = (r @ m1.T) @ q.T, (r @ m2.T) @ q.T + bias
+    """All normalisers as one matrix product."""
+    a, b = r @ m1.T, r @ m2.T
+    first, second = a @ q.T, b @ q.T + bias
     high1, high2 = first.max(axis=1, keepdims=True), second.max(axis=1, keepdims=True)
     normal = np.log(np.exp(first - high1) @ np.exp(second - high2).T) + high1 + high2.T
-    return Model(first.astype(np.float32), second.astype(np.float32), normal.astype(np.float32))
+    return Model(*(x.astype(np.float32) for x in (a, b, q, bias, normal)))
 
 
 PARTS = ("r", "q", "m1", "m2", "bias")
@@ -160,10 +203,18 @@ def start(counts: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 7) -> di
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
-def contexts(stream: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """The classes two back and one back of each token."""
+def contexts(stream: np.ndarray, starts: np.ndarray, end: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The classes two back and one back of each token of texts that each end in `end`."""
     last = np.concatenate([[end], stream[:-1]])
-    return np.concatenate([[end], last[:-1]]), last
+    before = np.concatenate([[end], last[:-1]])
+    before[starts] = end
+    return before, last
+
+
+def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of several texts in one row, and where each begins."""
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+    return np.frombuffer(b"".join(ids), "<u2").astype(np.int32), np.cumsum(sizes) - sizes
 
 
 def _rows(p: dict, name: str, at: np.ndarray, grad: np.ndarray, turn: np.ndarray | None = None) -> None:
@@ -222,14 +273,13 @@ def noise_of(counts: np.ndarray) -> np.ndarray:
     return (counts + 0.5) / (counts + 0.5).sum()
 
 
-def train(streams: list[np.ndarray], counts: np.ndarray, end: int, dimensions: int = DIMENSIONS, epochs: int = EPOCHS, seed: int = 7) -> Model:
-    """Noise-contrastive estimation with Adagrad in this process."""
+def train(texts: list[bytes], counts: np.ndarray, dimensions: int = DIMENSIONS, epochs: int = EPOCHS, seed: int = 7) -> Model:
+    """Noise-contrastive estimation with Adagrad in this process; class 0 ends each text."""
     p, rng = start(counts, dimensions, seed), np.random.default_rng(seed)
-    if streams:
-        before, last = (np.concatenate(x).astype(np.int64) for x in zip(*(contexts(s, end) for s in streams)))
-        target = np.concatenate(streams).astype(np.int64)
+    if texts:
+        stream, starts = joined(texts)
         for _ in range(epochs):
-            descend(p, before, last, target, noise_of(counts), rng, {k: np.zeros(len(counts)) for k in "rq"})
+            descend(p, *contexts(stream, starts), stream, noise_of(counts), rng, {k: np.zeros(len(counts)) for k in "rq"})
     return tables(*(p[k].astype(np.float64) for k in PARTS))
 
 
@@ -239,7 +289,7 @@ def _weights(touched: dict[str, np.ndarray], tokens: int) -> dict[str, np.ndarra
     return own | {f"+{k}": v for k, v in own.items()}
 
 
-def train_everywhere(streams: DataFrame, counts: np.ndarray, end: int, tokens: int, share_tokens: int = SAMPLE_TOKENS, epochs: int = EPOCHS, seed: int = 7) -> tuple[Model, int]:
+def train_everywhere(streams: DataFrame, counts: np.ndarray, tokens: int, share_tokens: int = SAMPLE_TOKENS, epochs: int = EPOCHS, seed: int = 7) -> tuple[Model, int]:
     """The model of all `streams` (column ids: classes of whole training texts), and how many tokens its passes read.
 
     In each epoch every task goes once over all its texts, `share_tokens` or so in memory at a time,
@@ -275,13 +325,13 @@ def train_everywhere(streams: DataFrame, counts: np.ndarray, end: int, tokens: i
             touched, held, size, seen = {k: np.zeros(n) for k in "rq"}, [], 0, 0
 
             def go():
-                before, last = (np.concatenate(x).astype(np.int32) for x in zip(*(contexts(s, end) for s in held)))
-                descend(own, before, last, np.concatenate(held).astype(np.int32), noise, rng, touched)
+                stream, starts = joined(held)
+                descend(own, *contexts(stream, starts), stream, noise, rng, touched)
 
             for batch in batches:
                 for ids in batches_of(batch, "ids")[0]:
-                    held.append(np.frombuffer(ids, "<u2"))
-                    size += len(held[-1])
+                    held.append(ids)
+                    size += len(ids) // 2
                     if size >= share_tokens:
                         go()
                         held, size, seen = [], 0, seen + size
@@ -303,80 +353,80 @@ def train_everywhere(streams: DataFrame, counts: np.ndarray, end: int, tokens: i
     return tables(*(p[k].astype(np.float64) for k in PARTS)), read
 
 
-def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known_words: int = KNOWN_WORDS, top_words: int = TOP_WORDS, sample_tokens: int = SAMPLE_TOKENS) -> DataFrame:
+def _looked(words: Words, vocab: Vocabulary) -> dict[str, pa.Array]:
+    """What known words say about some texts, their classes, and what is still to be looked up."""
+    texts = len(words.bounds) - 1
+    hashes, first, signs, kinds = words.distinct()
+    number = vocab.index.find(hashes, signs)
+    known = number >= 0
+    n = np.where(known, vocab.n[number], 0)
+    cls = np.where(known, vocab.cls[number], vocab.spelled[suffixes(words, first)])
+    count = np.where(known, np.log10(n + 0.5), 0.0)
+    owner = np.repeat(np.arange(texts), np.diff(words.bounds))
+    total = lambda values: np.bincount(owner, values[kinds], texts)
+    # the end; classes of one word have no share
+    counted = total(count) + np.log10(vocab.n[0] + 0.5)
+    n_tokens = np.diff(words.bounds) + 1
+    alone = known & (cls < vocab.top)
+    # the part of rare words that needs their counts comes later
+    inner = total(np.where(alone, 0.0, count - vocab.room[cls]))
+    rare = np.flatnonzero(~known[kinds])
+    pairs, tf = np.unique(owner[rare] * (len(hashes) + 1) + kinds[rare], return_counts=True)
+    who, what = np.divmod(pairs, len(hashes) + 1)
+    ids = np.insert(cls[kinds].astype("<u2"), words.bounds[1:], 0)
+    offsets = pa.py_buffer(((words.bounds + np.arange(texts + 1)) * 2).astype(np.int32).tobytes())
+    struct = pa.StructArray.from_arrays([pa.array(x) for x in (hashes[what].view(np.int64), signs[what].view(np.int64), tf.astype(np.int64))], names=["h", "s", "tf"])
+    return {
+        "n_tokens": pa.array(n_tokens), "n_known": pa.array(total((n > 0).astype(float)).astype(np.int64) + int(vocab.n[0] > 0)),
+        "base": pa.array(counted - n_tokens * vocab.total), "inner": pa.array(inner),
+        "ids": pa.Array.from_buffers(pa.binary(), texts, [None, offsets, pa.py_buffer(ids.tobytes())]),
+        "rare": pa.ListArray.from_arrays(pa.array(np.searchsorted(who, np.arange(texts + 1)).astype(np.int32)), struct),
+    }
+
+
+def _blocks(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    yield from (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
+def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", known_words: int = KNOWN_WORDS, classes: int | None = None, sample_tokens: int = SAMPLE_TOKENS) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
     own = ~held_out(id_column)
     words = cut(count_words(docs, own, text))
-    vocab = vocabulary(words, known_words, top_words)
-    end = vocab.known[END][0]
+    vocab = vocabulary(words, known_words, classes)
     known = spark.sparkContext.broadcast(vocab)
     kind = docs.schema[id_column].dataType.simpleString()
 
     def look(batches):
         vocab = known.value
-        top = vocab.classes - SPELLING
-        n_of = np.fromiter((n for _, n in vocab.known.values()), np.int64, len(vocab.known))
-        class_of = np.fromiter((c for c, _ in vocab.known.values()), np.int64, len(vocab.known))
-        # by known word: base score, and share of the class where the class has several words
-        base = vocab.base(n_of)
-        inner = np.where(class_of >= top, vocab.share(n_of, np.maximum(class_of - top, 0)), 0.0)
-        get = {w: k for k, w in enumerate(vocab.known)}.get
-        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "inner": pa.float64(), "ids": pa.binary(), "rare": pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))}
         for batch in batches:
-            rows = {k: [] for k in kinds}
-            for t in batches_of(batch, text)[0]:
-                tokens = tokens_of(t)
-                got = list(map(get, tokens))
-                rare: Counter = Counter()
-                if None in got:
-                    rare = Counter([w for w, k in zip(tokens, got) if k is None])
-                    spelled = {w: top + spelling_class(w) for w in rare}
-                    missing = np.fromiter((k is None for k in got), bool, len(got))
-                    ids = np.fromiter((0 if k is None else k for k in got), np.int64, len(got))
-                    classes = class_of[ids]
-                    classes[missing] = [spelled[w] for w, k in zip(tokens, got) if k is None]
-                    ids = ids[~missing]
-                else:
-                    ids = np.array(got, np.int64)
-                    classes = class_of[ids]
-                rows["n_tokens"].append(len(tokens))
-                rows["n_known"].append(int(np.count_nonzero(n_of[ids])))
-                rows["base"].append(float(base[ids].sum()))
-                rows["inner"].append(float(inner[ids].sum()))
-                rows["ids"].append(classes.astype("<u2").tobytes())
-                rows["rare"].append([{"word": w, "tf": n} for w, n in rare.items()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, kinds[k]) for k, v in rows.items())], names=[id_column, "_own", *rows])
-
-    looked = docs.select(id_column, own.alias("_own"), text).mapInArrow(look, f"`{id_column}` {kind}, _own boolean, n_tokens long, n_known long, base double, inner double, ids binary, rare array<struct<word: binary, tf: bigint>>")
+            done = 0
+            for part in grouped([lowered(t) for t in batches_of(batch, "_text")[0]]):
+                got, rows = _looked(part, vocab), len(part.bounds) - 1
+                plain = batch.slice(done, rows)
+                done += rows
+                yield pa.RecordBatch.from_arrays([plain.column(0), plain.column(1), *got.values()], names=[id_column, "_own", *got])
+
+    looked = docs.select(id_column, own.alias("_own"), F.col(text).alias("_text")).mapInArrow(look, f"`{id_column}` {kind}, _own boolean, n_tokens long, n_known long, base double, inner double, ids binary, rare array<struct<h: bigint, s: bigint, tf: bigint>>")
     looked = cut(looked.withColumn("_row", F.monotonically_increasing_id()))
-    model, _ = train_everywhere(looked.where("_own").select("ids"), vocab.counts, end, vocab.tokens, sample_tokens)
+    model, _ = train_everywhere(looked.where("_own").select("ids"), vocab.counts, vocab.tokens, sample_tokens)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         model = shared.value
-        for batch in batches:
-            scores = []
-            for ids, inner in zip(*batches_of(batch, "ids", "inner")):
-                classes = np.frombuffer(ids, "<u2").astype(np.int64)
-                scores.append(float(model.log_probabilities(*contexts(classes, end), classes).sum(dtype=np.float64) / np.log(10) + inner))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(5)), pa.array(scores, pa.float64())], names=[*plain, "score"])
+        for batch in (b for whole in batches for b in _blocks(whole)):
+            stream, starts = joined(batches_of(batch, "ids")[0])
+            found = np.add.reduceat(model.log_probabilities(*contexts(stream, starts), stream), starts) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(5)), pa.array(found + batch.column(6).to_numpy())], names=[*plain, "score"])
 
     plain = [id_column, "_row", "n_tokens", "n_known", "base"]
     rows = looked.select(*plain, "ids", "inner").mapInArrow(run, f"`{id_column}` {kind}, _row long, n_tokens long, n_known long, base double, score double")
-    rare = looked.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.tf")
-    # words that no training text holds need no partner: their count is 0; the class comes with the count or from the spelling
-    met = rare.join(words.where("n > 0 ").select("word", "n"), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("double"))
-    cls = F.pmod(F.crc32(F.expr("substring(word, greatest(1, octet_length(word) - 1), 2)")) + (F.octet_length("word") > 7).cast("int"), F.lit(SPELLING)).cast("int")
-    total = vocab.tokens + 0.5 * (vocab.distinct + 1)
-    room = F.array(*(F.lit(float(i + 0.5 * (t + 1))) for i, t in zip(vocab.inside, vocab.types)))
-    sums = met.groupBy("_row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("k"),
-        F.sum(F.col("tf") * F.log10((F.col("n") + 0.5) / F.lit(total))).alias("b"),
-        F.sum(F.col("tf") * F.log10((F.col("n") + 0.5) / F.get(room, cls))).alias("s"),
-    )
+    rare = looked.select("_row", F.explode("rare").alias("r")).select("_row", "r.h", "r.s", "r.tf")
+    # words that no training text holds need no partner: their count is 0
+    met = rare.join(words.where("n > 0").select("h", "s", "n"), ["h", "s"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("double"))
+    sums = met.groupBy("_row").agg(F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("_k"), F.sum(F.col("tf") * F.log10(F.col("n") + 0.5)).alias("_c"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return rows.join(sums, "_row", "left").select(
-        id_column, held_out(id_column).alias("held_out"), "n_tokens", (F.col("n_known") + zero("k")).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("b")).alias("base_score"), (F.col("score") + zero("s")).alias("score"),
+        id_column, held_out(id_column).alias("held_out"), "n_tokens", (F.col("n_known") + zero("_k")).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"),
+        (F.col("base") + zero("_c")).alias("base_score"), (F.col("score") + zero("_c")).alias("score"),
     )

@@ -182,34 +182,87 @@ def test_viterbi_against_plain_dynamic_programming():
 # --- language model ---
 
 
+def streams():
+    return [np.array([1, 2, 3] * 40 + [0], "<u2").tobytes() for _ in range(60)], np.bincount([*[1, 2, 3] * 2400, *[0] * 60], minlength=5).astype(float)
+
+
 def test_model_is_normalised_and_learns():
     r = np.random.default_rng(1)
-    streams = [np.array([0, 1, 2] * 40 + [3]) for _ in range(60)]
-    counts = np.bincount(np.concatenate(streams), minlength=5).astype(float)
-    model = lm.train(streams, counts, 3, dimensions=8, epochs=8)
+    model = lm.train(*streams(), dimensions=8, epochs=8)
     every = np.exp([[model.log_probabilities(np.array([a]), np.array([b]), np.array([c]))[0] for c in range(5)] for a, b in r.integers(0, 5, (20, 2))]).sum(axis=1)
     assert np.allclose(every, 1, atol=1e-4)
-    assert np.exp(model.log_probabilities(np.array([0]), np.array([1]), np.array([2])))[0] > 0.8
+    assert np.exp(model.log_probabilities(np.array([1]), np.array([2]), np.array([3])))[0] > 0.8
+
+
+def words_of(text):
+    return [*(text or "").encode().lower().split(), b""]  # the end last
 
 
-def test_scores_over_messy_rows(messy, rows, empty):
-    got = lm.score(messy, known_words=30, top_words=10, sample_tokens=5000).collect()
+def test_scores_against_brute_force(messy, rows, empty, monkeypatch):
+    kept = {}
+    train = lm.train_everywhere
+    monkeypatch.setattr(lm, "train_everywhere", lambda *a, **k: kept.setdefault("model", train(*a, **k)))
+    vocabulary = lm.vocabulary
+    monkeypatch.setattr(lm, "vocabulary", lambda *a, **k: kept.setdefault("vocabulary", vocabulary(*a, **k)))
+    got = lm.score(messy, known_words=30, classes=16, sample_tokens=5000).collect()
+    model, vocab = kept["model"][0], kept["vocabulary"]
     counts = Counter()
     for i, t, *_ in rows:
         if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1:
-            counts.update(lm.tokens_of(t))
+            counts.update(words_of(t))
     n, v = sum(counts.values()), len(counts)
+    every = {w for _, t, *_ in rows for w in words_of(t)}
+    # classes of single words go to the most frequent ones; the others follow their spelling
+    singles = sorted((w for w in counts if w), key=lambda w: -counts[w])[: vocab.top - 1]
+    floor = counts[singles[-1]]
+    cls = {b"": 0}
+    for w in every - {b""}:
+        asked = lm.Words([w])
+        number = int(vocab.index.find(asked.hashes, asked.signatures())[0])
+        two = w[-2:] if len(w) > 1 else b"\0" + w
+        cls[w] = int(vocab.cls[number]) if 0 <= number < vocab.top else int(vocab.spelled[two[0] << 9 | two[1] << 1 | (len(w) > 7)])
+        assert (cls[w] < vocab.top) >= (counts[w] > floor) and (cls[w] >= vocab.top or counts[w] >= floor)
+    shares = {}
+    for w in every:
+        if counts[w] and cls[w] >= vocab.top:
+            shares.setdefault(cls[w], []).append(counts[w])
+    contexts = {}
+
+    def class_score(a, b, c):
+        if (a, b) not in contexts:
+            scores = (model.first[a] + model.second[b]).astype(float) @ model.words.T.astype(float) + model.bias
+            contexts[a, b] = scores - np.log(np.exp(scores).sum())
+        return contexts[a, b][c] / np.log(10)
+
     want = {}
     for i, t, *_ in rows:
-        tokens = lm.tokens_of(t)
-        want.setdefault((i, len(tokens)), (sum(counts[w] > 0 for w in tokens), sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)))
+        words = words_of(t)
+        base = sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        chain = [0, 0, *(cls[w] for w in words)]
+        score = sum(class_score(*chain[k : k + 3]) for k in range(len(words)))
+        for w in words:
+            if cls[w] >= vocab.top:
+                inside = shares.get(cls[w], [])
+                score += np.log10((counts[w] + 0.5) / (sum(inside) + 0.5 * (len(inside) + 1)))
+        want.setdefault((i, len(words)), []).append((sum(counts[w] > 0 for w in words), base, score))
     assert len(got) == len(rows)
     for r in got:
-        known, base = want[r.doc_id, r.n_tokens]
-        assert r.n_known == known and abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and r.train_tokens == n and np.isfinite(r.score) and r.score < 0
+        close = [x for x in want[r.doc_id, r.n_tokens] if abs(x[1] - r.base_score) < 1e-6 * max(1, abs(x[1]))]
+        assert r.train_tokens == n and close and close[0][0] == r.n_known and abs(r.score - close[0][2]) < 1e-4 * max(1, abs(close[0][2]))
     assert lm.score(empty).count() == 0
 
 
+def test_classes_grow_with_the_vocabulary(spark):
+    def made(distinct):
+        words = spark.range(distinct).selectExpr("id + 1 AS h", "id + 1 AS s", "2 + id % 5000 AS suffix", "1 + 100000 DIV (id + 1) AS n", "1 + 100000 DIV (id + 1) AS total")
+        return lm.vocabulary(words)
+
+    small, large = made(20_000), made(180_000)
+    assert small.classes == 2 * 141 and large.classes == 2 * 424 and small.top < large.top
+    for vocab in (small, large):  # every class is a distribution with room for one unseen word
+        assert vocab.counts.sum() == vocab.tokens and len(np.unique(vocab.cls[: vocab.top])) == vocab.top
+
+
 def test_every_training_text_reaches_the_model(spark):
     """Word order is only in texts that a sample by hash (here the lowest 0.2 of the hashes) would leave out."""
     r, words = np.random.default_rng(3), list("abcdef")
@@ -222,11 +275,10 @@ def test_every_training_text_reaches_the_model(spark):
 
 
 def test_passes_read_every_token(spark):
-    streams = [np.array([0, 1, 2] * 40 + [3], "<u2") for _ in range(60)]
-    counts = np.bincount(np.concatenate(streams), minlength=5).astype(float)
-    df = spark.createDataFrame([(bytearray(s.tobytes()),) for s in streams], "ids binary").repartition(3)
-    model, read = lm.train_everywhere(df, counts, 3, int(counts.sum()), share_tokens=2000, epochs=8)
+    texts, counts = streams()
+    df = spark.createDataFrame([(bytearray(s),) for s in texts], "ids binary").repartition(3)
+    model, read = lm.train_everywhere(df, counts, int(counts.sum()), share_tokens=2000, epochs=8)
     assert read == 8 * counts.sum()
-    assert np.exp(model.log_probabilities(np.array([0]), np.array([1]), np.array([2])))[0] > 0.5
-    model, read = lm.train_everywhere(df.limit(0), counts, 3, 0)
+    assert np.exp(model.log_probabilities(np.array([1]), np.array([2]), np.array([3])))[0] > 0.5
+    model, read = lm.train_everywhere(df.limit(0), counts, 0)
     assert read == 0 and np.isfinite(model.normal).all()

@@ -19,13 +19,29 @@ from pyspark.sql import functions as F
 
 from folioql.llm._common import attach_groups, cut, fresh
 
-#: A chunk ends at the first line or sentence end after MIN_CHARS characters, and at MAX_CHARS at the latest.
-MIN_CHARS, MAX_CHARS = 512, 4096
+#: Chunks have about MEAN_CHARS characters, and MAX_CHARS at most; longer sentences are cut between words.
+MEAN_CHARS, MAX_CHARS, LONG_SENTENCE = 1024, 8192, 1024
+#: Tables of up to so many rows (fingerprint, digest and rank) are broadcast.
+BROADCAST_ROWS = 1_000_000
+_ENDS, _MARK = r"[.!?\n。！？]", "\x01"
 
 
-def chunks(text: Column, least: int = MIN_CHARS, most: int = MAX_CHARS) -> Column:
-    """The chunks of a text in order; their concatenation is the text.  Cuts depend on content, not on position."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s).{{{least},{most - 1}}}?[.\n]|.{{1,{most}}}"), F.lit(0))
+def chunks(text: Column, mean: int = MEAN_CHARS, most: int = MAX_CHARS, long: int = LONG_SENTENCE) -> Column:
+    """The chunks of a text in order; their concatenation is the text.
+
+    Candidates for a cut are the ends of sentences and lines, and of words in sentences of more than
+    `long` characters.  A candidate is taken when the hash of what it ends, modulo `mean`, is below
+    that unit's length: so a chunk has about `mean` characters, and every cut depends on the one unit
+    before it, not on its position or on other cuts.  What is still longer than `most` (text without
+    white space) is cut at fixed places of its own chunk.
+    """
+    text = F.replace(text, F.lit(_MARK), F.lit(_MARK + "\x02"))  # a mark of the text's own is told from a cut
+    sentences, words = F.split(text, f"(?<={_ENDS})"), lambda s: F.split(s, r"(?<=\s)")
+    marked = lambda u: F.when(F.pmod(F.xxhash64(u), F.lit(mean)) < F.length(u), F.concat(u, F.lit(_MARK + "\x03"))).otherwise(u)
+    units = F.transform(sentences, lambda s: F.when(F.length(s) > long, F.array_join(F.transform(words(s), marked), "")).otherwise(marked(s)))
+    whole = F.filter(F.split(F.array_join(units, ""), _MARK + "\x03"), lambda c: c != "")
+    short = F.flatten(F.transform(whole, lambda c: F.when(F.length(c) > most, F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{most}}}"), F.lit(0))).otherwise(F.array(c))))
+    return F.transform(short, lambda c: F.replace(c, F.lit(_MARK + "\x02"), F.lit(_MARK)))
 
 
 def recipes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -41,13 +57,15 @@ def recipes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     known = rows.select(F.explode("parts").alias("p")).select("p.key", "p.digest").groupBy("key", "digest").agg(F.count("*").alias("n"))
     # Fingerprints of several chunks: of n distinct chunks about n^2 / 2^65 pairs, some hundreds among 10^11.
     clash = known.groupBy("key").agg(F.count("*").alias("chunks"), F.sort_array(F.collect_list("digest")).alias("digests")).where("chunks > 1")
-    ranks = clash.select("key", F.posexplode("digests").alias("rank", "digest")).where("rank > 0")
-    moved = rows.select(F.col("n_bytes"), F.col("text_sha256"), F.posexplode("parts").alias("at", "p")).join(F.broadcast(ranks.select(F.col("key").alias("_k"), F.col("digest").alias("_d"), "rank")), (F.col("p.key") == F.col("_k")) & (F.col("p.digest") == F.col("_d")))
-    # a recipe that holds such a chunk carries the ranks after the fingerprints
-    fixes = moved.groupBy("text_sha256", "n_bytes").agg(F.sort_array(F.collect_set(F.struct("at", "rank"))).alias("fixes"))
+    ranks = cut(clash.select(F.col("key").alias("_k"), F.posexplode("digests").alias("rank", "_d")).where("rank > 0"))
     plain = F.transform("parts", lambda p: p["key"])
-    if fixes.isEmpty():
+    clashes = ranks.count()
+    if not clashes:
         return rows.select(id_column, "n_bytes", "text_sha256", plain.alias("recipe"))
+    ranks = F.broadcast(ranks) if clashes <= BROADCAST_ROWS else ranks
+    moved = rows.select("n_bytes", "text_sha256", F.posexplode("parts").alias("at", "p")).join(ranks, (F.col("p.key") == F.col("_k")) & (F.col("p.digest") == F.col("_d")))
+    # a recipe that holds such a chunk carries the ranks after the fingerprints
+    fixes = moved.groupBy("text_sha256", "n_bytes").agg(F.sort_array(F.collect_set(F.struct("at", "rank"))).alias("fixes"))
     ranked = F.concat(plain, F.transform("fixes", lambda f: f["at"].cast("long")), F.transform("fixes", lambda f: f["rank"].cast("long")))
     joined = rows.join(fixes, ["text_sha256", "n_bytes"], "left")
     return joined.select(id_column, "n_bytes", "text_sha256", F.when(F.col("fixes").isNull(), plain).otherwise(ranked).alias("recipe"))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -33,12 +34,23 @@ def test_stage_keeps_rows_and_columns(messy, rows, empty):
 
 
 def test_chunks_are_lossless_and_local(spark):
-    long = ". ".join(f"sentence number {k} of a text" for k in range(2000))
-    df = spark.createDataFrame([(long,), ("",), ("y" * 10_000,), ("new start. " + long,)], "t string")
-    got = [r[0] for r in df.select(dedup.chunks(F.col("t"))).collect()]
-    assert ["".join(c) for c in got] == [long, "", "y" * 10_000, "new start. " + long]
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9)))
+    sentences = " ".join(word() + r.choice(["", "", "", ".", "!", "\n"]) for _ in range(20_000))
+    unbroken = " ".join(word() for _ in range(20_000))
+    texts = []
+    for long in (sentences, unbroken):
+        middle = len(long) // 2
+        texts += [long, "new start. " + long, long[:middle] + "in the middle" + long[middle:], long[:middle] + long[middle + 30 :]]
+    texts += ["", "y" * 20_000, "same line\n" * 3000, "...!!\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r[1] for r in sorted(df.select("i", dedup.chunks(F.col("t"))).collect())]
+    assert ["".join(c) for c in got] == texts
     assert max(len(c) for cs in got for c in cs) <= dedup.MAX_CHARS
-    assert len(set(got[0]) & set(got[3])) > 0
+    for k in (0, 4):  # an edit changes the chunks around it, and no others
+        assert len(got[k]) > len(texts[k]) / 4 / dedup.MEAN_CHARS
+        for other in got[k + 1 : k + 4]:
+            assert len(set(got[k]) - set(other)) <= 3 and len(set(other) - set(got[k])) <= 3
 
 
 def test_fingerprint_clash_is_told_apart(spark, monkeypatch):

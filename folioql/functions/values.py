@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 #: Order of the types in a sort over mixed values; SQL NULL is placed by the sort itself.
 RANK = {"boolean": 1, "number": 2, "string": 3, "array": 4, "object": 5}
+#: The first letters of the type names of numbers; of the others: VOID, BOOLEAN, ARRAY, OBJECT, and what counts as a string.
+NUMBER_KINDS = ("BIG", "DOU", "DEC", "INT", "FLO", "SMA", "TIN")
+NO_STRINGS = ("VOI", "BOO", "ARR", "OBJ", *NUMBER_KINDS)
 INT_LIMITS = {"tinyint": (-(2**7), 2**7 - 1), "smallint": (-(2**15), 2**15 - 1), "int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
 
 
@@ -41,17 +44,21 @@ def path(doc: Column, *segments: str | int) -> Column:
     return norm(raw(doc, *segments))
 
 
+def _kind(value: Column) -> Column:
+    """The first letters of the value's type."""
+    return F.substring(F.schema_of_variant(value), 1, 3)
+
+
+def by_kind(value: Column, body) -> Column:
+    """`body` of the value's kind, which is found once (a lambda's argument is computed once, a repeated expression is not)."""
+    return F.get(F.transform(F.array(_kind(value)), body), F.lit(0))
+
+
 def type_of(value: Column) -> Column:
     """null, boolean, number, string, array or object; NULL when absent."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), None)
-        .when(kind == "VOID", "null")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind.startswith("ARRAY"), "array")
-        .when(kind.startswith("OBJECT"), "object")
-        .when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"), "number")
-        .otherwise("string")
+    return by_kind(
+        value,
+        lambda k: F.when(k.isNull(), None).when(k == "VOI", "null").when(k == "BOO", "boolean").when(k == "ARR", "array").when(k == "OBJ", "object").when(k.isin(*NUMBER_KINDS), "number").otherwise("string"),
     )
 
 
@@ -93,21 +100,21 @@ def is_primitive(value: Column) -> Column:
 
 def num(value: Column) -> Column:
     """The number, else NULL."""
-    return F.when(type_of(value) == "number", F.try_variant_get(value, "$", "double"))
+    return F.when(_kind(value).isin(*NUMBER_KINDS), F.try_variant_get(value, "$", "double"))
 
 
 def text(value: Column) -> Column:
     """The string, else NULL (no coercion)."""
-    return F.when(type_of(value) == "string", F.try_variant_get(value, "$", "string"))
+    return F.when(~_kind(value).isin(*NO_STRINGS), F.try_variant_get(value, "$", "string"))
 
 
 def boolean(value: Column) -> Column:
-    return F.when(type_of(value) == "boolean", F.try_variant_get(value, "$", "boolean"))
+    return F.when(_kind(value) == "BOO", F.try_variant_get(value, "$", "boolean"))
 
 
 def array(value: Column) -> Column:
     """The elements, else NULL."""
-    return F.when(type_of(value) == "array", F.try_variant_get(value, "$", "array<variant>"))
+    return F.when(_kind(value) == "ARR", F.try_variant_get(value, "$", "array<variant>"))
 
 
 def number_text(value: Column) -> Column:
@@ -121,25 +128,32 @@ def canon_key(value: Column) -> Column:
 
     Numbers inside arrays and objects are compared as they are printed.
     """
-    kind = type_of(value)
     printed = F.try_variant_get(value, "$", "string")
-    return (
-        F.when(kind == "number", F.concat(F.lit("n:"), number_text(F.try_variant_get(value, "$", "double"))))
-        .when(kind == "string", F.concat(F.lit("s:"), printed))
-        .when(kind == "boolean", F.concat(F.lit("b:"), printed))
-        .when(kind.isin("array", "object"), F.concat(F.lit("j:"), F.to_json(value)))
+    number = F.concat(F.lit("n:"), number_text(F.try_variant_get(value, "$", "double")))
+    return by_kind(
+        value,
+        lambda k: F.when(k.isNull() | (k == "VOI"), None).when(k.isin(*NUMBER_KINDS), number).when(k == "BOO", F.concat(F.lit("b:"), printed)).when(k.isin("ARR", "OBJ"), F.concat(F.lit("j:"), F.to_json(value))).otherwise(F.concat(F.lit("s:"), printed)),
     )
 
 
+def plain_key(value: Column, kind: str) -> Column:
+    """`canon_key` of a typed column."""
+    if kind in INT_LIMITS or kind in ("float", "double") or kind.startswith("decimal"):
+        return F.concat(F.lit("n:"), number_text(value.cast("double")))
+    return F.concat(F.lit("b:" if kind == "boolean" else "s:"), value.cast("string"))
+
+
 def sort_key(value: Column) -> Column:
     """A struct that sorts mixed values: boolean < number < string < array < object; NULL for null and absent."""
-    kind = type_of(value)
-    rank = F.lit(None).cast("int")
-    for k, r in RANK.items():
-        rank = F.when(kind == k, r).otherwise(rank)
-    d = F.when(kind == "number", F.try_variant_get(value, "$", "double")).when(kind == "boolean", F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
-    s = F.when(kind == "string", F.try_variant_get(value, "$", "string")).when(kind.isin("array", "object"), F.to_json(value))
-    return F.when(rank.isNotNull(), F.struct(rank.alias("rank"), d.alias("number"), s.alias("text")))
+
+    def key(k: Column) -> Column:
+        number = k.isin(*NUMBER_KINDS)
+        rank = F.when(k == "BOO", RANK["boolean"]).when(number, RANK["number"]).when(k == "ARR", RANK["array"]).when(k == "OBJ", RANK["object"]).otherwise(RANK["string"])
+        d = F.when(number, F.try_variant_get(value, "$", "double")).when(k == "BOO", F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
+        s = F.when(k.isin("ARR", "OBJ"), F.to_json(value)).when(~k.isin(*NO_STRINGS), F.try_variant_get(value, "$", "string"))
+        return F.when(k.isNotNull() & (k != "VOI"), F.struct(rank.alias("rank"), d.alias("number"), s.alias("text")))
+
+    return by_kind(value, key)
 
 
 # --- casts ----------------------------------------------------------------------------------------
@@ -168,6 +182,14 @@ def _convertible(t: Column, converted: Column, safe: bool, kind: str) -> Column:
     return F.when(t.isNull() | (t == "null"), None).when(t.isin("number", "string"), converted).otherwise(wrong.cast(kind) if safe else wrong)
 
 
+def saturated(value: Column, to: str, safe: bool = False) -> Column:
+    """A typed number as a whole type, like `cast_integer`: toward zero; int and bigint saturate, others raise (NULL when safe)."""
+    low, high = INT_LIMITS[to]
+    if to not in ("int", "bigint"):
+        return value.try_cast(to) if safe else value.cast(to)
+    return F.when(value >= F.lit(high), F.lit(high).cast(to)).when(value <= F.lit(low), F.lit(low).cast(to)).otherwise(value.cast(to))
+
+
 def cast_double(value: Column, safe: bool = False, kind: str = "double") -> Column:
     t = type_of(value)
     printed = F.trim(F.try_variant_get(value, "$", "string"))

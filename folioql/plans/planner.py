@@ -15,10 +15,12 @@ from pyspark.sql import types as T
 
 from folioql.functions import scalar, search
 from folioql.functions import values as V
+from folioql.metrics import Metrics
 from folioql.operators import relational
 from folioql.plans.parser import SqlError, parse
+from folioql.plans.pushdown import conjuncts, implied
 from folioql.sources.catalog import Catalog
-from folioql.sources.container import ID, MAP
+from folioql.sources.container import ID, MAP, hidden_columns
 
 Typed = tuple[Column, str]
 WHOLE = {"tinyint", "smallint", "int", "bigint"}
@@ -90,6 +92,13 @@ def find_calls(x, test) -> list[tuple]:
     return [c for part in children(x) for c in find_calls(part, test)]
 
 
+def find_nodes(x, kind: str) -> list[tuple]:
+    """The expressions of one kind in another, but for those of queries inside it."""
+    if isinstance(x, tuple) and x and x[0] == kind:
+        return [x]
+    return [n for part in children(x) for n in find_nodes(part, kind)]
+
+
 def is_aggregate(x: tuple) -> bool:
     return x[1] in AGGREGATES and "over" not in x[3]
 
@@ -97,11 +106,14 @@ def is_aggregate(x: tuple) -> bool:
 class Engine:
     """SQL over a catalog: `sql` returns rows as a DataFrame (for writes, one row with the count)."""
 
-    def __init__(self, spark: SparkSession, catalog: Catalog | None = None):
-        self.spark, self.catalog = spark, catalog or Catalog(spark)
+    def __init__(self, spark: SparkSession, catalog: Catalog | None = None, metrics: Metrics | None = None):
+        self.spark, self.catalog, self.metrics = spark, catalog or Catalog(spark), metrics or Metrics()
 
     def sql(self, text: str, *params) -> DataFrame:
-        return self.run(parse(text), params)
+        with self.metrics.span("parse", text):
+            statement = parse(text)
+        with self.metrics.span("write" if statement["kind"] in ("insert", "delete", "update") else "plan", text):
+            return self.run(statement, params)
 
     def explain(self, text: str, *params) -> str:
         df = self.sql(text, *params)
@@ -128,18 +140,23 @@ class Engine:
             names = statement["columns"] or [MAP, ID, *container.meta.key_columns]
             if len(names) != len(rows.columns):
                 raise SqlError(f"{len(names)} columns, {len(rows.columns)} values")
-            return container.insert_rows(rows.toDF(*names))
+            return self._touched(container.insert_rows(rows.toDF(*names)))
         alias = statement["alias"] or statement["table"][-1]
         plain = container.df()
         scope = Scope.of(planner.qualified(plain, alias))
         scope.columns = {k: (name.partition(".")[2], kind) for k, (name, kind) in scope.columns.items()}
         where = planner.condition(statement["where"], scope) if statement["where"] else F.lit(True)
+        within = implied(statement["where"], alias, container.meta, planner.as_literal)
         if statement["kind"] == "delete":
-            return container.delete_where(where)
+            return self._touched(container.delete_where(where, within))
         sets = {c.lower(): x for c, x in statement["sets"]}
         if set(sets) != {MAP.lower()}:
             raise SqlError("only a whole document can be set: SET _MAP = ...")
-        return container.replace_where(where, planner.plan(sets[MAP.lower()], scope)[0])
+        return self._touched(container.replace_where(where, planner.plan(sets[MAP.lower()], scope)[0], within=within))
+
+    def _touched(self, rows: int) -> int:
+        self.metrics.count("documents written", rows)
+        return rows
 
 
 def unique(names: list[str]) -> list[str]:
@@ -155,6 +172,7 @@ def unique(names: list[str]) -> list[str]:
 class Planner:
     def __init__(self, engine: Engine, params: tuple, ctes: dict):
         self.engine, self.params, self.ctes = engine, params, ctes
+        self.pushed: tuple[tuple | None, bool] = (None, False)  # WHERE of the select at hand, and whether it reads one table
 
     # -- queries: columns of a result are named "q.name"
 
@@ -196,9 +214,11 @@ class Planner:
         """A FROM item; UNNEST reads the rows to its left (`outer`)."""
         kind = t[0]
         if kind == "table":
-            return self.qualified(self.source(t[1]), t[2])
+            return self.qualified(self.source(t[1], t[2]), t[2])
         if kind == "query":
+            before, self.pushed = self.pushed, (None, False)
             df = self.query(t[1])
+            self.pushed = before
             return self.qualified(df, t[2], t[3] or [c.partition(".")[2] for c in df.columns])
         if kind == "unnest":
             return self.unnest(outer if outer is not None else self.engine.spark.range(1).select(), t, False)
@@ -211,15 +231,16 @@ class Planner:
         b = self.table(right, a)
         if how == "cross" or condition is None:
             return a.crossJoin(b)
+        b = relational.lookup_side(b, how)
         both = Scope.of(a)
         both.columns |= Scope.of(b).columns
         if condition[0] == "using":
             x, y = Scope.of(a), Scope.of(b)
             on = F.lit(True)
             for n in condition[1]:
-                on = on & self.compare("=", self.read(x.find((n,))), self.read(y.find((n,))))
+                on = on & self.matches(self.read(x.find((n,))), self.read(y.find((n,))))
         else:
-            on = self.condition(condition[1], both)
+            on = self.truth(condition[1], both)
         return a.join(b, on, how)
 
     def unnest(self, df: DataFrame, t: tuple, outer: bool) -> DataFrame:
@@ -227,19 +248,24 @@ class Planner:
         c, kind = self.plan(x, Scope.of(df))
         element = f"{alias}.{columns[0] if columns else alias}"
         elements = V.array(V.norm(c)) if kind == "any" else c
+        if x[0] != "col":  # computed once: Catalyst repeats a generator's input in the filters it infers
+            df = df.select("*", F.explode(F.array(elements)).alias("_elements"))
+            elements = F.col("_elements")
         f = {(False, False): F.explode, (False, True): F.explode_outer, (True, False): F.posexplode, (True, True): F.posexplode_outer}[ordinal, outer]
         if not ordinal:
-            return df.select("*", f(elements).alias(element))
+            return df.select("*", f(elements).alias(element)).drop("_elements")
         position = f"{alias}.{columns[1] if len(columns) > 1 else 'ORDINALITY'}"
-        return df.select("*", f(elements).alias(position, element)).withColumn(position, col(position) + 1)
+        return df.select("*", f(elements).alias(position, element)).withColumn(position, col(position) + 1).drop("_elements")
 
-    def source(self, name: list[str]) -> DataFrame:
+    def source(self, name: list[str], alias: str = "") -> DataFrame:
         if len(name) == 1 and name[0].lower() in self.ctes:
             return self.ctes[name[0].lower()]
         container = self.engine.catalog.container(*name)
         if container is not None:
             df = container.df()
-            return df.select(*(c for c in df.columns if not c.startswith(("_pk", "_p_"))))
+            where, lone = self.pushed
+            test = implied(where, alias or name[-1], container.meta, self.as_literal, lone)
+            return (df if test is None else df.where(test)).drop(*hidden_columns(container.meta))
         view = self.engine.catalog.views.get(name[-1].lower())
         if isinstance(view, DataFrame):
             return view
@@ -249,7 +275,9 @@ class Planner:
         return self.engine.spark.table(".".join(f"`{n}`" for n in name))
 
     def select(self, q: dict, order: list, offset: int, fetch: int | None) -> DataFrame:
+        before, self.pushed = self.pushed, (q["where"], q["from"] is not None and q["from"][0] == "table")
         df = self.table(q["from"]) if q["from"] else self.engine.spark.range(1).select()
+        self.pushed = before
         if q["top"] is not None:
             fetch = q["top"] if fetch is None else min(fetch, q["top"])
         if q["where"]:
@@ -334,38 +362,97 @@ class Planner:
         return x
 
     def filtered(self, df: DataFrame, condition: tuple) -> DataFrame:
-        """IN and EXISTS over queries become semi and anti joins; the other conjuncts one filter."""
-        plain = []
-        stack = [condition]
-        while stack:
-            x = stack.pop()
-            if x[0] == "and":
-                stack += [x[2], x[1]]
-            elif x[0] == "inquery":
-                df = self.in_query(df, x)
-            elif x[0] == "not" and x[1][0] == "inquery":
-                df = self.in_query(df, (*x[1][:3], not x[1][3]))
-            elif x[0] == "exists" or x[0] == "not" and x[1][0] == "exists":
-                inner = self.query((x if x[0] == "exists" else x[1])[1]).limit(1).select(F.lit(1).alias("_e"))
-                df = df.join(inner, F.lit(True), "left_semi" if x[0] == "exists" else "left_anti")
+        """IN and EXISTS over queries become semi and anti joins, below OR a looked-up mark; the other conjuncts one filter."""
+        plain, marks = [], []
+        for x in conjuncts(condition):
+            negated = x[0] == "not"
+            y = x[1] if negated else x
+            if y[0] == "inquery":
+                df = self.in_query(df, (*y[:3], y[3] != negated))
+            elif y[0] == "exists":
+                df = self.exists(df, y[1], negated)
             else:
+                for node in find_nodes(x, "inquery"):
+                    df, mark = self.marked(df, node, len(marks))
+                    marks.append((node, mark))
                 plain.append(x)
         if plain:
-            scope = Scope.of(df)
-            test = self.condition(plain[0], scope)
+            scope = Scope.of(df, marks)
+            test = self.truth(plain[0], scope)
             for x in plain[1:]:
-                test = test & self.condition(x, scope)
+                test = test & self.truth(x, scope)
             df = df.where(test)
-        return df
-
-    def in_query(self, df: DataFrame, x: tuple) -> DataFrame:
-        _, value, q, negated = x
+        return df.drop(*(f"_in{k}" for k in range(len(marks))))
+
+    def correlated(self, q: dict, outer: DataFrame) -> tuple[DataFrame, Column | None, dict]:
+        """The rows of a plain query by what reads its own tables only, the rest of its WHERE as a join condition, and its select."""
+        body = q["body"] if q["kind"] == "query" and not q["ctes"] and not q["offset"] and q["fetch"] is None else q
+        if body["kind"] != "select" or not body["from"] or body["group"] or body["having"] or body["top"] is not None or find_calls(("", *(x for x, _ in body["items"])), is_aggregate):
+            return self.query(q), None, {}
+        rows = Planner(self.engine, self.params, dict(self.ctes))
+        inner = rows.table(body["from"])
+        own, both = Scope.of(inner), Scope.of(outer)
+        own_parts, outer_parts = [], []
+        for x in conjuncts(body["where"]):
+            (own_parts if all(own.find(n[1]) for n in find_nodes(x, "col")) else outer_parts).append(x)
+        if not outer_parts:
+            return self.query(q), None, {}
+        if clash := {c.lower() for c in inner.columns} & {c.lower() for c in outer.columns}:
+            raise SqlError(f"a correlated query needs aliases of its own: {sorted(clash)[0]}")
+        for x in own_parts:
+            inner = rows.filtered(inner, x)
+        both.columns |= own.columns
+        both.columns |= {("", n): v for (_, n), v in own.columns.items()}  # a bare name is the inner query's
+        on = self.truth(outer_parts[0], both)
+        for x in outer_parts[1:]:
+            on = on & self.truth(x, both)
+        return inner, on, body
+
+    def exists(self, df: DataFrame, q: dict, negated: bool) -> DataFrame:
+        inner, on, _ = self.correlated(q, df)
+        if on is None:
+            inner, on = inner.limit(1).select(F.lit(1).alias("_e")), F.lit(True)
+        return df.join(inner, on, "left_anti" if negated else "left_semi")
+
+    def one_column(self, q: dict) -> tuple[DataFrame, str]:
         inner = self.query(q)
         if len(inner.columns) != 1:
             raise SqlError("IN needs a query of one column")
-        inner = inner.toDF("_in.v")
-        same = self.compare("=", self.plan(value, Scope.of(df)), self.read(Scope.of(inner).find(("_in", "v"))))
-        return df.join(inner, same | same.isNull(), "left_anti") if negated else df.join(inner, same, "left_semi")
+        return inner.toDF("_in.v"), Scope.of(inner.toDF("_in.v")).columns["_in", "v"][1]
+
+    def in_query(self, df: DataFrame, x: tuple) -> DataFrame:
+        """Values are equal by canonical key: one of another type is just not among them.  Null is unknown, as everywhere."""
+        _, value, q, negated = x
+        inner, on, body = self.correlated(q, df)
+        if on is not None:
+            if negated:
+                raise SqlError("NOT IN over a correlated query: use NOT EXISTS")
+            (item, _), both = body["items"][0], Scope.of(inner)
+            return df.join(inner, on & self.matches(self.plan(value, Scope.of(df)), self.plan(item, both)), "left_semi")
+        inner, kind = self.one_column(q)
+        typed, listed = self.plan(value, Scope.of(df)), (col("_in.v"), kind)
+        if not negated:
+            return df.join(inner, self.matches(typed, listed), "left_semi")
+        key = self.key(listed) if "any" in (typed[1], kind) else listed[0]
+        known = inner.agg(F.count("*").alias("n"), F.count(key).alias("k"))
+        empty, whole = known.select(F.col("n") == 0).scalar(), known.select(F.col("n") == F.col("k")).scalar()
+        own = self.key(typed) if "any" in (typed[1], kind) else typed[0]
+        return df.join(inner, self.matches(typed, listed), "left_anti").where(empty | (whole & own.isNotNull()))
+
+    def marked(self, df: DataFrame, node: tuple, number: int) -> tuple[DataFrame, Typed]:
+        """A column with the truth of an IN over a query that stands below OR."""
+        _, value, q, negated = node
+        inner, kind = self.one_column(q)
+        typed = self.plan(value, Scope.of(df))
+        keys = inner.select(self.key((col("_in.v"), kind)).alias(f"_key{number}"))
+        known = keys.agg(F.count("*").alias("n"), F.count(f"_key{number}").alias("k"))
+        empty, whole = known.select(F.col("n") == 0).scalar(), known.select(F.col("n") == F.col("k")).scalar()
+        found = keys.where(F.col(f"_key{number}").isNotNull()).distinct().withColumn(f"_hit{number}", F.lit(True))
+        own = self.key(typed)
+        df = df.join(found, own == F.col(f"_key{number}"), "left")
+        test = F.when(F.col(f"_hit{number}"), True).when(empty | (whole & own.isNotNull()), False)
+        df = df.withColumn(f"_in{number}", ~test if negated else test).drop(f"_key{number}", f"_hit{number}")
+        return df, (F.col(f"_in{number}"), "boolean")
 
     # -- aggregation
 
@@ -393,11 +480,63 @@ class Planner:
             out = df.agg(*aggregates) if aggregates else df.agg(F.count("*").alias("_n")).drop("_n")
         else:
             keyed = {n: V.norm(c) if kind == "any" else c for n, (c, kind) in zip(names, planned)}
-            out = relational.group(df, keyed, aggregates or [F.count("*").alias("_n")], how, chosen, documents)
+            parts = [self.partial(c, scope, f"a{i}") for i, c in enumerate(order)] if how != "groupBy" else [None]
+            if all(p is not None for p in parts):
+                merged = [aggregates[i] if c[1] == "grouping" else p[1].alias(f"a{i}") for i, (c, p) in enumerate(zip(order, parts))]
+                steps = [x for p in parts for x in p[0]] or [F.count("*").alias("_n")]
+                out = relational.group_by_partials(df, keyed, steps, merged or [F.count("*").alias("_n")], how, chosen, documents)
+            else:
+                out = relational.group(df, keyed, aggregates or [F.count("*").alias("_n")], how, chosen, documents)
         replaced = [(k, (col(n), kind)) for k, n, (_, kind) in zip(keys, names, planned)]
         replaced += [(c, (col(f"a{i}"), kind)) for i, (c, kind) in enumerate(zip(order, kinds))]
         return out, Scope({}, [], replaced)
 
+    def partial(self, call: tuple, scope: Scope, name: str) -> tuple[list[Column], Column | None] | None:
+        """An aggregate in two steps: columns of the finest groups, and their merge; None where there is no such form."""
+        _, function, args, extra = call
+        if function == "grouping":
+            return [], None
+        if extra.get("distinct") or function not in ("count", "sum", "min", "max", "avg"):
+            return None
+        if function != "avg":
+            column, kind = self.aggregate(call, scope)
+            if kind == "any":
+                return None
+            merge = {"count": lambda c: F.coalesce(F.sum(c), F.lit(0)), "sum": F.sum, "min": F.min, "max": F.max}[function]
+            return [column.alias(f"{name}p")], merge(F.col(f"{name}p"))
+        total, kind = self.aggregate((call[0], "sum", args, extra), scope)
+        n, _ = self.aggregate((call[0], "count", args, extra), scope)
+        (c, of) = self.plan(args[0], scope)
+        if of == "any":  # numbers are counted, not all that is there
+            c, of = V.num(c), "double"
+            keep = self.condition(extra["filter"], scope) if "filter" in extra else F.lit(True)
+            n = F.count(F.when(keep, c))
+        sums, counts = F.sum(f"{name}s"), F.sum(f"{name}n")
+        if of in WHOLE:
+            mean = F.when(counts > 0, sums.cast("decimal(38,0)") / counts)
+            merged = F.when(mean >= 0, F.floor(mean)).otherwise(F.ceil(mean)).cast(of)
+        elif of.startswith("decimal"):
+            return None
+        else:
+            merged = F.when(counts > 0, sums / counts)
+        return [total.alias(f"{name}s"), n.alias(f"{name}n")], merged
+
+    def listed(self, s: Column, sep: str, within: list, scope: Scope) -> Column:
+        """LISTAGG in the order of its keys, each with its own direction and place of nulls; ties by the text."""
+        keys = [(self.plan(x, scope), d, (nulls or ("last" if d == "asc" else "first")) == "first") for x, d, nulls in within]
+        row = F.struct(*(x for i, (t, _, _) in enumerate(keys) for x in ((V.sort_key(t[0]) if t[1] == "any" else t[0]).alias(f"k{i}"),)), s.alias("s"))
+
+        def compare(a: Column, b: Column) -> Column:
+            order = F.when(a["s"] < b["s"], -1).when(a["s"] > b["s"], 1).otherwise(0)
+            for i, (_, direction, first) in reversed(list(enumerate(keys))):
+                x, y = a[f"k{i}"], b[f"k{i}"]
+                less = -1 if direction == "asc" else 1
+                lone = F.when(x.isNull() & y.isNull(), order).when(x.isNull(), -1 if first else 1).when(y.isNull(), 1 if first else -1)
+                order = lone.when(x < y, less).when(x > y, -less).otherwise(order)
+            return order
+
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(s.isNotNull(), row)), compare), lambda p: p["s"]), sep)
+
     def aggregate(self, call: tuple, scope: Scope) -> Typed:
         _, name, args, extra = call
         keep = self.condition(extra["filter"], scope) if "filter" in extra else None
@@ -413,14 +552,15 @@ class Planner:
             return (F.any_value(c, True), kind) if name == "any_value" else (F.collect_list(c), "anyarray" if kind == "any" else f"array<{kind}>")
         if name == "listagg":
             s, sep = only(self.as_text((c, kind))), self.as_literal(args[1]) if len(args) > 1 else ","
-            if within := extra.get("within"):
-                k, direction, _ = within[0]
-                pairs = F.collect_list(F.when(s.isNotNull(), F.struct(self.comparable(self.plan(k, scope)).alias("k"), s.alias("s"))))
-                return F.array_join(F.transform(F.sort_array(pairs, direction == "asc"), lambda p: p["s"]), sep), "string"
+            if "within" in extra:
+                return self.listed(s, sep, extra["within"], scope), "string"
             return F.array_join(F.sort_array(F.collect_list(s)), sep), "string"
         if name in ("bool_and", "every", "bool_or", "some"):
             c = only(V.boolean(c) if kind == "any" else c)
             return (F.bool_and if name in ("bool_and", "every") else F.bool_or)(c), "boolean"
+        if kind == "any" and name in ("min", "max"):  # by the order of mixed values
+            value = only(V.norm(c))
+            return (F.min_by if name == "min" else F.max_by)(value, V.sort_key(value)), "any"
         if kind == "any":  # numbers count; other values, null and absent are skipped
             c, kind = V.num(c), "double"
         c = only(c)
@@ -481,8 +621,7 @@ class Planner:
             names.append(f"{name}_{k}")
         if len(names) < 2 or weights and len(weights) != len(names):
             raise SqlError("RRF fuses two or more scores")
-        size = df.count()  # the fused list keeps every row: later clauses may cut it
-        return search.fuse(df, names, size, (), weights or None, name).drop(*names), name
+        return search.fuse(df, names, None, (), weights or None, name).drop(*names), name
 
     # -- expressions
 
@@ -509,7 +648,7 @@ class Planner:
         c, kind = typed
         if kind == "any":
             return V.array(V.norm(c))
-        return c if kind == "anyarray" else F.transform(c, lambda v: v.cast("variant"))
+        return c if kind == "anyarray" else F.transform(c, lambda v: F.to_variant_object(v) if kind.startswith(("array<struct", "array<array", "array<map")) else v.cast("variant"))
 
     def as_value(self, typed: Typed) -> Column:
         c, kind = typed
@@ -528,6 +667,25 @@ class Planner:
         c, kind = self.plan(x, scope)
         return V.boolean(c) if kind == "any" else c
 
+    def key(self, typed: Typed) -> Column:
+        """The canonical key of a value, so that typed and document values meet."""
+        return V.canon_key(typed[0]) if typed[1] == "any" else V.plain_key(*typed)
+
+    def matches(self, a: Typed, b: Typed) -> Column:
+        """Equality where false and unknown are alike: between documents a plain one of keys, which joins can hash and sort."""
+        if a[1] == "any" and b[1] == "any":
+            return V.canon_key(a[0]) == V.canon_key(b[0])
+        return self.compare("=", a, b)
+
+    def truth(self, x: tuple, scope: Scope) -> Column:
+        """A condition of which only truth matters."""
+        if x[0] in ("and", "or") and not any(n == x for n, _ in scope.replaced):
+            a, b = self.truth(x[1], scope), self.truth(x[2], scope)
+            return a & b if x[0] == "and" else a | b
+        if x[0] == "compare" and x[1] == "=" and not any(n == x for n, _ in scope.replaced):
+            return self.matches(self.plan(x[2], scope), self.plan(x[3], scope))
+        return self.condition(x, scope)
+
     def compare(self, op: str, a: Typed, b: Typed) -> Column:
         """Document values compare within one JSON type, and with a typed value as values of its type."""
         f = {"=": "__eq__", "<>": "__ne__", "<": "__lt__", "<=": "__le__", ">": "__gt__", ">=": "__ge__"}[op]
@@ -573,6 +731,8 @@ class Planner:
             segments.insert(0, self.as_literal(root[2]))
             root = root[1]
         c, kind = self.plan(root, scope)
+        if kind.startswith(("struct", "map")):
+            c, kind = F.to_variant_object(c), "any"
         if kind == "any":
             return V.raw(c, *segments), "any"
         if kind == "anyarray" and isinstance(segments[0], int):
@@ -665,8 +825,11 @@ class Planner:
             return self.as_value((c, kind)), "any"
         if kind == "any":
             return V.cast_value(c, to, x[3]), to
-        if to in WHOLE and kind in ("string", "double", "float") or kind.startswith("decimal") and to in WHOLE:
-            return V.cast_value(c.cast("variant"), to, x[3]), to
+        if to in WHOLE and kind == "string":
+            wide = F.trim(c).try_cast("double") if x[3] else F.trim(c).cast("double")
+            return V.saturated(wide, to, x[3]), to
+        if to in WHOLE and (kind in ("double", "float") or kind.startswith("decimal")):
+            return V.saturated(c, to, x[3]), to
         return (c.try_cast(to) if x[3] else c.cast(to)), to
 
     def _arith(self, x: tuple, scope: Scope) -> Typed:
@@ -694,7 +857,7 @@ class Planner:
         return self.query(x[1]).exists(), "boolean"
 
     def _inquery(self, x: tuple, scope: Scope) -> Typed:
-        raise SqlError("IN over a query stands in WHERE, beside AND only")
+        raise SqlError("IN over a query stands in WHERE only")
 
     def _star(self, x: tuple, scope: Scope) -> Typed:
         raise SqlError("* is no value")
@@ -715,6 +878,16 @@ class Planner:
         typed = [self.plan(y, scope) for y in args] if name not in ("regexmatch",) else [self.plan(args[0], scope)]
         if name == "regexmatch":
             return scalar.regexmatch(self.as_text(typed[0]), self.as_literal(args[1]), self.as_literal(args[2]) if len(args) > 2 else ""), "boolean"
+        if name == "extract":
+            return self.extracted(self.as_literal(args[0]), typed[1]), "bigint"
+        if name in UNITS and len(typed) == 1:
+            return self.extracted(name, typed[0]), "bigint"
+        if name in ("timestampadd", "timestampdiff"):
+            return self.moved(name, self.as_literal(args[0]), typed[1], typed[2])
+        if name in ("floor", "ceil", "ceiling") and "to" in extra:
+            return self.rounded(extra["to"], typed[0], name != "floor"), "timestamp"
+        if name in ("current_date", "current_timestamp", "localtimestamp"):
+            return (F.current_date(), "date") if name == "current_date" else (F.current_timestamp(), "timestamp")
         if name in ("coalesce", "nullif"):
             return self.coalesced(name, args, typed, scope)
         if name == "trim":
@@ -748,6 +921,39 @@ class Planner:
             return f(*columns), kind
         raise SqlError(f"no function {name.upper()}")
 
+    # -- dates: text in documents is read as ISO dates and times
+
+    def as_time(self, typed: Typed) -> Column:
+        c, kind = typed
+        return V.text(c).try_cast("timestamp") if kind == "any" else c.cast("timestamp")
+
+    def extracted(self, unit: str, typed: Typed) -> Column:
+        if unit not in UNITS:
+            raise SqlError(f"no unit {unit.upper()}")
+        c = self.as_time(typed)
+        if unit == "epoch":
+            return F.unix_seconds(c)
+        if unit in ("second", "millisecond", "microsecond"):
+            micros = F.pmod(F.unix_micros(c), F.lit(60_000_000))
+            return F.floor(micros / {"second": 1_000_000, "millisecond": 1000, "microsecond": 1}[unit]).cast("bigint")
+        if unit in ("century", "decade", "millennium"):
+            year = F.year(c)
+            return (F.floor(year / 10) if unit == "decade" else F.ceil(year / (100 if unit == "century" else 1000))).cast("bigint")
+        return F.date_part(F.lit({"isodow": "DAYOFWEEK_ISO", "dow": "DAYOFWEEK", "doy": "DOY", "isoyear": "YEAROFWEEK"}.get(unit, unit)), c).cast("bigint")
+
+    def moved(self, name: str, unit: str, a: Typed, b: Typed) -> Typed:
+        if unit not in SPANS:
+            raise SqlError(f"no span {unit.upper()}")
+        if name == "timestampadd":
+            n = self.as_number(a)[0]
+            return F.timestamp_add(unit.upper(), n.cast("int"), self.as_time(b)), "timestamp"
+        return F.timestamp_diff(unit.upper(), self.as_time(a), self.as_time(b)).cast("int"), "int"
+
+    def rounded(self, unit: str, typed: Typed, up: bool) -> Column:
+        c = self.as_time(typed)
+        low = F.date_trunc(unit, c)
+        return F.when(low == c, c).otherwise(F.timestamp_add(unit.upper(), F.lit(1), low)) if up else low
+
     def coalesced(self, name: str, args: list, typed: list[Typed], scope: Scope) -> Typed:
         if name == "nullif":
             c = self.shown(typed[0])
@@ -769,6 +975,9 @@ class Planner:
         return F.transform(self.as_array(typed), V.num) if kind in ("any", "anyarray") else c
 
 
+UNITS = ("year", "quarter", "month", "week", "day", "dayofweek", "dayofyear", "dow", "isodow", "doy", "isoyear", "hour", "minute", "second", "millisecond", "microsecond", "epoch", "decade", "century", "millennium")
+SPANS = ("year", "quarter", "month", "week", "day", "hour", "minute", "second", "millisecond", "microsecond")
+
 TESTS = {
     "is_defined": V.is_defined, "is_null": V.is_null, "is_array": V.is_array, "is_bool": V.is_bool,
     "is_number": V.is_number, "is_object": V.is_object, "is_string": V.is_string, "is_primitive": V.is_primitive,

@@ -41,7 +41,8 @@ def orders_documents(orders: DataFrame) -> DataFrame:
         "tags": F.to_variant_object("_tags"),
     }
     document = F.to_variant_object(F.map_filter(F.create_map(*(x for k, c in entries.items() for x in (F.lit(k), c))), lambda _, v: v.isNotNull()))
-    return row.select(document.alias("_MAP"), F.col("o_orderkey").cast("string").alias("id"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("_ts"), F.md5(F.col("o_orderkey").cast("string")).alias("_etag"))
+    # behind a generator, so that Catalyst does not build the document again for every path that is read
+    return row.select(F.explode(F.array(document)).alias("_MAP"), F.col("o_orderkey").cast("string").alias("id"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("_ts"), F.md5(F.col("o_orderkey").cast("string")).alias("_etag"))
 
 
 def events_documents(events: DataFrame) -> DataFrame:
@@ -135,6 +136,11 @@ for _name, _where, _plain in (
     ("member_of", "'2-HIGH' MEMBER OF _MAP['tags']", "list_contains(tags, '2-HIGH')"),
     ("exists_subquery", "EXISTS (SELECT 1 FROM region WHERE r_name = 'ASIA') AND _MAP['status'] = 'O'", "EXISTS (SELECT 1 FROM region WHERE r_name = 'ASIA') AND status = 'O'"),
     ("in_subquery", "_MAP['custkey'] IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)", "cust IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)"),
+    ("not_in_subquery", "_MAP['label'] NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)", "k % 2 = 1 OR cust NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)"),
+    ("in_subquery_or", "_MAP['price'] > 200000 OR _MAP['custkey'] IN (SELECT c_custkey FROM customer WHERE c_acctbal > 8000)", "price > 200000 OR cust IN (SELECT c_custkey FROM customer WHERE c_acctbal > 8000)"),
+    ("exists_correlated", "EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = _MAP['custkey'] AND c.c_acctbal > 5000)", "EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = cust AND c.c_acctbal > 5000)"),
+    ("not_exists_correlated", "NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = _MAP['custkey'] AND c.c_acctbal > 5000)", "NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = cust AND c.c_acctbal > 5000)"),
+    ("nullif_filter", "NULLIF(_MAP['status'], 'F') IS NULL", "NULLIF(status, 'F') IS NULL"),
 ):
     statement(_name, f"SELECT id FROM orders_c WHERE {_where}", O + f"SELECT id FROM o WHERE {_plain}")
 
@@ -151,21 +157,26 @@ statement("sort_nulls_first", "SELECT id, CAST(_MAP['priority'] AS VARCHAR) AS p
 statement("sort_nulls_last", "SELECT id, CAST(_MAP['status'] AS VARCHAR) AS s FROM orders_c ORDER BY _MAP['status'] DESC NULLS LAST, id LIMIT 40", O + "SELECT id, status AS s FROM o ORDER BY status DESC NULLS LAST, id LIMIT 40")
 statement("sort_default_nulls", "SELECT id FROM orders_c ORDER BY _MAP['priority'] DESC, id FETCH NEXT 30 ROWS ONLY", O + "SELECT id FROM o ORDER BY priority DESC NULLS FIRST, id LIMIT 30")
 statement("sort_multi", "SELECT id FROM orders_c ORDER BY _MAP['status'], _MAP['price'] DESC, id LIMIT 60", O + "SELECT id FROM o ORDER BY status NULLS LAST, price DESC, id LIMIT 60")
-statement("sort_mixed_types", "SELECT id FROM orders_c ORDER BY _MAP['label'], id LIMIT 25", O + "SELECT id FROM o WHERE k % 2 = 0 ORDER BY cust, id LIMIT 25")
+statement("sort_mixed_types", "SELECT id, _ts FROM orders_c WHERE _MAP['custkey'] < 60 ORDER BY _MAP['label'], id LIMIT 1000000", O + "SELECT id, ts AS _ts FROM o WHERE cust < 60 ORDER BY k % 2, CASE WHEN k % 2 = 0 THEN cust END, CAST(cust AS VARCHAR), id")
+statement("sort_mixed_positions", "SELECT id, ROW_NUMBER() OVER (ORDER BY _MAP['label'], id) AS n FROM orders_c WHERE _MAP['custkey'] < 60", O + "SELECT id, CAST(row_number() OVER (ORDER BY k % 2, CASE WHEN k % 2 = 0 THEN cust END, CAST(cust AS VARCHAR), id) AS INTEGER) AS n FROM o WHERE cust < 60")
 statement("topk", "SELECT TOP 10 id, _ts FROM orders_c ORDER BY _ts DESC, id", O + "SELECT id, ts AS _ts FROM o ORDER BY ts DESC, id LIMIT 10")
+statement("offset_alone", "SELECT id FROM orders_c WHERE _MAP['custkey'] < 30 ORDER BY id OFFSET 20", O + "SELECT id FROM o WHERE cust < 30 ORDER BY id OFFSET 20")
 statement("offset_fetch", "SELECT id FROM orders_c ORDER BY id OFFSET 20 ROWS FETCH NEXT 15 ROWS ONLY", O + "SELECT id FROM o ORDER BY id LIMIT 15 OFFSET 20")
 
 # --- aggregates -------------------------------------------------------------------------------------
 
 statement("count_star", "SELECT COUNT(*) AS n FROM orders_c", "SELECT count(*) AS n FROM orders")
 statement("count_nullable", "SELECT COUNT(_MAP['priority']) AS p, COUNT(_MAP['status']) AS s, COUNT(_MAP['nothing']) AS z FROM orders_c", O + "SELECT count(priority) AS p, count(status) AS s, 0 AS z FROM o")
-statement("sum_min_max_avg", "SELECT ROUND(SUM(_MAP['price']), 1) AS s, MIN(_MAP['price']) AS lo, MAX(_MAP['price']) AS hi, ROUND(AVG(_MAP['price']), 4) AS a, SUM(_MAP['label']) AS l FROM orders_c", O + "SELECT round(sum(price), 1) AS s, min(price) AS lo, max(price) AS hi, round(avg(price), 4) AS a, CAST(sum(cust) FILTER (WHERE k % 2 = 0) AS DOUBLE) AS l FROM o")
+statement("sum_min_max_avg", "SELECT ROUND(SUM(_MAP['price']), 1) AS s, CAST(MIN(_MAP['price']) AS DOUBLE) AS lo, CAST(MAX(_MAP['price']) AS DOUBLE) AS hi, ROUND(AVG(_MAP['price']), 4) AS a, SUM(_MAP['label']) AS l FROM orders_c", O + "SELECT round(sum(price), 1) AS s, min(price) AS lo, max(price) AS hi, round(avg(price), 4) AS a, CAST(sum(cust) FILTER (WHERE k % 2 = 0) AS DOUBLE) AS l FROM o")
 statement("avg_int_trunc", "SELECT c_nationkey, AVG(c_custkey) AS a FROM customer GROUP BY c_nationkey", "SELECT c_nationkey, CAST(sum(c_custkey) // count(c_custkey) AS BIGINT) AS a FROM customer GROUP BY c_nationkey")
 statement("count_distinct", "SELECT COUNT(DISTINCT _MAP['priority']) AS p, COUNT(DISTINCT _MAP['label']) AS l FROM orders_c", O + "SELECT count(DISTINCT priority) AS p, count(DISTINCT CASE WHEN k % 2 = 0 THEN 'n' ELSE 's' END || cust) AS l FROM o")
 statement("group_by_path", "SELECT CAST(_MAP['priority'] AS VARCHAR) AS p, COUNT(*) AS n, ROUND(SUM(_MAP['price']), 1) AS s FROM orders_c GROUP BY _MAP['priority']", O + "SELECT priority AS p, count(*) AS n, round(sum(price), 1) AS s FROM o GROUP BY priority")
 statement("group_null_absent", "SELECT CAST(_MAP['status'] AS VARCHAR) AS s, CAST(_MAP['priority'] AS VARCHAR) AS p, COUNT(*) AS n FROM orders_c GROUP BY _MAP['status'], _MAP['priority']", O + "SELECT status AS s, priority AS p, count(*) AS n FROM o GROUP BY status, priority")
 statement("rollup", "SELECT CAST(_MAP['priority'] AS VARCHAR) AS p, CAST(_MAP['status'] AS VARCHAR) AS s, COUNT(*) AS n FROM orders_c GROUP BY ROLLUP(_MAP['priority'], _MAP['status'])", O + "SELECT priority AS p, status AS s, count(*) AS n FROM o GROUP BY ROLLUP(priority, status)")
 statement("cube", "SELECT l_returnflag, l_linestatus, COUNT(*) AS n, SUM(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY CUBE(l_returnflag, l_linestatus)", "SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q FROM lineitem GROUP BY CUBE(l_returnflag, l_linestatus)")
+statement("min_max_mixed", "SELECT CAST(MIN(_MAP['priority']) AS VARCHAR) AS lo, CAST(MAX(_MAP['priority']) AS VARCHAR) AS hi, CAST(MIN(_MAP['label']) AS BIGINT) AS least, CAST(MAX(_MAP['label']) AS VARCHAR) AS most FROM orders_c", O + "SELECT min(priority) AS lo, max(priority) AS hi, min(cust) FILTER (WHERE k % 2 = 0) AS least, max(CAST(cust AS VARCHAR)) FILTER (WHERE k % 2 = 1) AS most FROM o")
+statement("rollup_avg", "SELECT CAST(_MAP['priority'] AS VARCHAR) AS p, CAST(_MAP['status'] AS VARCHAR) AS s, ROUND(AVG(_MAP['price']), 4) AS a, GROUPING(_MAP['status']) AS g FROM orders_c GROUP BY ROLLUP(_MAP['priority'], _MAP['status'])", O + "SELECT priority AS p, status AS s, round(avg(price), 4) AS a, CAST(GROUPING(status) AS INTEGER) AS g FROM o GROUP BY ROLLUP(priority, status)")
+statement("count_distinct_rollup", "SELECT CAST(_MAP['status'] AS VARCHAR) AS s, COUNT(DISTINCT _MAP['custkey']) AS n FROM orders_c GROUP BY ROLLUP(_MAP['status'])", O + "SELECT status AS s, count(DISTINCT cust) AS n FROM o GROUP BY ROLLUP(status)")
 statement("grouping_sets", "SELECT l_returnflag, l_linestatus, COUNT(*) AS n FROM lineitem GROUP BY GROUPING SETS((l_returnflag, l_linestatus), (l_linestatus), ())", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY GROUPING SETS((l_returnflag, l_linestatus), (l_linestatus), ())")
 statement("having_key", "SELECT CAST(_MAP['status'] AS VARCHAR) AS s, COUNT(*) AS n FROM orders_c GROUP BY _MAP['status'] HAVING _MAP['status'] = 'F'", O + "SELECT status AS s, count(*) AS n FROM o GROUP BY status HAVING status = 'F'")
 statement("having_agg", "SELECT _MAP['custkey'] % 100 AS c, COUNT(*) AS n FROM orders_c GROUP BY _MAP['custkey'] % 100 HAVING COUNT(*) > 10", O + "SELECT CAST(cust % 100 AS DOUBLE) AS c, count(*) AS n FROM o GROUP BY cust % 100 HAVING count(*) > 10")
@@ -174,6 +185,8 @@ statement("agg_over_limit", "SELECT COUNT(*) AS n, MAX(id) AS m FROM (SELECT id
 statement("agg_over_agg", "SELECT MAX(n) AS m, COUNT(*) AS g FROM (SELECT COUNT(*) AS n FROM orders_c GROUP BY _MAP['custkey']) AS t", O + "SELECT max(n) AS m, count(*) AS g FROM (SELECT count(*) AS n FROM o GROUP BY cust)")
 statement("agg_filter", "SELECT COUNT(*) FILTER (WHERE _MAP['status'] = 'F') AS f, SUM(_MAP['custkey']) FILTER (WHERE _MAP['price'] > 100000) AS s FROM orders_c", O + "SELECT count(*) FILTER (WHERE status = 'F') AS f, CAST(sum(cust) FILTER (WHERE price > 100000) AS DOUBLE) AS s FROM o")
 statement("listagg", "SELECT n_regionkey, LISTAGG(n_name, ',') WITHIN GROUP (ORDER BY n_name) AS l FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS l FROM nation GROUP BY n_regionkey")
+statement("listagg_documents", "SELECT CAST(_MAP['priority'] AS VARCHAR) AS p, LISTAGG(id, ',') WITHIN GROUP (ORDER BY _MAP['custkey'] DESC, _MAP['price']) AS l FROM orders_c WHERE _MAP['custkey'] < 30 GROUP BY _MAP['priority']", O + "SELECT priority AS p, string_agg(id, ',' ORDER BY cust DESC, price) AS l FROM o WHERE cust < 30 GROUP BY priority")
+statement("listagg_mixed", "SELECT _MAP['custkey'] AS c, LISTAGG(id, ',') WITHIN GROUP (ORDER BY _MAP['status'] DESC NULLS LAST, _MAP['label'], id DESC) AS l FROM orders_c GROUP BY _MAP['custkey']".replace("_MAP['custkey'] AS c", "CAST(_MAP['custkey'] AS BIGINT) AS c"), O + "SELECT cust AS c, string_agg(id, ',' ORDER BY status DESC NULLS LAST, k % 2, id DESC) AS l FROM o GROUP BY cust")
 statement("window_functions", "SELECT id, ROW_NUMBER() OVER (PARTITION BY _MAP['custkey'] ORDER BY _MAP['price'] DESC, id) AS rn, LAG(id) OVER (PARTITION BY _MAP['custkey'] ORDER BY id) AS before FROM orders_c", O + "SELECT id, CAST(row_number() OVER (PARTITION BY cust ORDER BY price DESC, id) AS INTEGER) AS rn, lag(id) OVER (PARTITION BY cust ORDER BY id) AS before FROM o")
 
 
@@ -189,15 +202,20 @@ statement("lookup_join", "SELECT o.id, c.c_name FROM orders_c AS o JOIN customer
 statement("left_join", "SELECT c.c_custkey, o.id FROM customer AS c LEFT JOIN orders_c AS o ON c.c_custkey = o._MAP['custkey'] AND o._MAP['price'] > 150000", O + "SELECT c.c_custkey, o.id FROM customer AS c LEFT JOIN o ON c.c_custkey = o.cust AND o.price > 150000")
 statement("full_join", "SELECT s.s_suppkey, c.c_custkey FROM supplier AS s FULL OUTER JOIN customer AS c ON s.s_suppkey = c.c_custkey AND c.c_acctbal > 0", "SELECT s.s_suppkey, c.c_custkey FROM supplier AS s FULL OUTER JOIN customer AS c ON s.s_suppkey = c.c_custkey AND c.c_acctbal > 0")
 statement("semi_join", "SELECT c.c_custkey FROM customer AS c LEFT SEMI JOIN orders_c AS o ON o._MAP['custkey'] = c.c_custkey AND o._MAP['status'] = 'F'", O + "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT cust FROM o WHERE status = 'F')")
-statement("anti_join", "SELECT c_custkey FROM customer AS c LEFT ANTI JOIN orders AS o ON o.o_custkey = c.c_custkey", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+statement("anti_join", "SELECT c_custkey FROM customer AS c LEFT ANTI JOIN orders_c AS o ON o._MAP['custkey'] = c.c_custkey AND o._MAP['price'] > 200000 AND o._MAP['status'] = 'F' AND o._MAP['priority'] = '1-URGENT'", O + "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT cust FROM o WHERE price > 200000 AND status = 'F' AND priority = '1-URGENT')")
+statement("right_join", "SELECT o.id, c.c_custkey FROM orders_c AS o RIGHT JOIN customer AS c ON o._MAP['custkey'] = c.c_custkey AND o._MAP['price'] > 200000", O + "SELECT o.id, c.c_custkey FROM o RIGHT JOIN customer AS c ON o.cust = c.c_custkey AND o.price > 200000")
+statement("document_join", "SELECT a.id, b.id AS other FROM orders_c AS a JOIN orders_c AS b ON a._MAP['label'] = b._MAP['label'] AND a.id < b.id WHERE a._MAP['custkey'] < 200", O + "SELECT a.id, b.id AS other FROM o AS a JOIN o AS b ON a.cust = b.cust AND a.k % 2 = b.k % 2 AND a.id < b.id WHERE a.cust < 200")
+statement("document_join_nulls", "SELECT COUNT(*) AS n, COUNT(b.id) AS m FROM orders_c AS a LEFT JOIN (SELECT _MAP['priority'] AS p, MIN(id) AS id FROM orders_c GROUP BY _MAP['priority']) AS b ON a._MAP['priority'] = b.p", O + "SELECT count(*) AS n, count(b.id) AS m FROM o AS a LEFT JOIN (SELECT priority AS p, min(id) AS id FROM o GROUP BY priority) AS b ON a.priority = b.p")
 statement("non_equi_join", "SELECT r.r_name, n.n_name FROM region AS r JOIN nation AS n ON n.n_nationkey < r.r_regionkey * 3", "SELECT r.r_name, n.n_name FROM region AS r JOIN nation AS n ON n.n_nationkey < r.r_regionkey * 3")
-statement("multi_key_join", "SELECT a.n_name, b.n_name AS other FROM nation AS a JOIN nation AS b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey = b.n_nationkey + 1", "SELECT a.n_name, b.n_name AS other FROM nation AS a JOIN nation AS b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey = b.n_nationkey + 1")
+statement("multi_key_join", "SELECT a.id, b.l_linenumber FROM orders_c AS a JOIN lineitem AS b ON a._MAP['orderkey'] = b.l_orderkey AND a._MAP['custkey'] % 10 = b.l_suppkey % 10", O + "SELECT a.id, b.l_linenumber FROM o AS a JOIN lineitem AS b ON a.k = b.l_orderkey AND a.cust % 10 = b.l_suppkey % 10")
 statement("three_way_join", "SELECT r.r_name, COUNT(*) AS n FROM orders_c AS o JOIN customer AS c ON o._MAP['custkey'] = c.c_custkey JOIN nation AS n ON c.c_nationkey = n.n_nationkey JOIN region AS r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name", "SELECT r.r_name, count(*) AS n FROM orders AS o JOIN customer AS c ON o.o_custkey = c.c_custkey JOIN nation AS n ON c.c_nationkey = n.n_nationkey JOIN region AS r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name")
 statement("cross_join", "SELECT r.r_name, n.n_name FROM region AS r CROSS JOIN nation AS n", "SELECT r.r_name, n.n_name FROM region AS r CROSS JOIN nation AS n")
 statement("union_all", "SELECT _MAP['status'] = 'F' AS f FROM orders_c UNION ALL SELECT _MAP['k'] > 50 FROM events_c", O + "SELECT status = 'F' AS f FROM o UNION ALL SELECT CAST(json_extract(props, '$.k') AS BIGINT) > 50 FROM events")
 statement("union_distinct", "SELECT CAST(v AS VARCHAR) AS v FROM (SELECT _MAP['status'] AS v FROM orders_c UNION SELECT _MAP['priority'] FROM orders_c) AS t", O + "SELECT status AS v FROM o UNION SELECT priority FROM o")
 statement("intersect", "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier", "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
 statement("except", "SELECT CAST(v AS BIGINT) AS v FROM (SELECT _MAP['custkey'] AS v FROM orders_c EXCEPT SELECT _MAP['custkey'] FROM orders_c WHERE _MAP['status'] = 'F') AS t", O + "SELECT cust AS v FROM o EXCEPT SELECT cust FROM o WHERE status = 'F'")
+statement("intersect_all", "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier", "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier")
+statement("except_all_documents", "SELECT CAST(v AS VARCHAR) AS v FROM (SELECT _MAP['priority'] AS v FROM orders_c EXCEPT ALL SELECT _MAP['priority'] FROM orders_c WHERE _MAP['status'] = 'F') AS t", O + "SELECT priority AS v FROM o EXCEPT ALL SELECT priority FROM o WHERE status = 'F'")
 statement("scalar_subquery", "SELECT id FROM orders_c WHERE _MAP['price'] > (SELECT AVG(o_totalprice) FROM orders)", O + "SELECT id FROM o WHERE price > (SELECT avg(o_totalprice) FROM orders)")
 statement("cte", "WITH f AS (SELECT id, _MAP['custkey'] AS c FROM orders_c WHERE _MAP['status'] = 'F') SELECT COUNT(*) AS n, COUNT(DISTINCT c) AS d FROM f", O + "SELECT count(*) AS n, count(DISTINCT cust) AS d FROM o WHERE status = 'F'")
 
@@ -244,7 +262,11 @@ statement("json_conversions", "SELECT id, ToString(_MAP['label']) AS s, StringTo
           O + "SELECT id, CAST(cust AS VARCHAR) AS s, CAST(cust AS DOUBLE) AS n, NULL::DOUBLE AS z, true AS b, true AS o, true AS a, CAST(len(tags) AS INTEGER) AS c FROM o")
 statement("type_tests", "SELECT id, IS_DEFINED(_MAP['status']) AS d, IS_DEFINED(_MAP['priority']) AS dp, IS_NULL(_MAP['priority']) AS n, IS_NULL(_MAP['status']) AS ns, IS_NUMBER(_MAP['label']) AS num, IS_STRING(_MAP['label']) AS str, IS_ARRAY(_MAP['tags']) AS arr, IS_OBJECT(_MAP['ship']) AS obj, IS_BOOL(_MAP['label']) AS b, IS_PRIMITIVE(_MAP['priority']) AS p FROM orders_c",
           O + "SELECT id, status IS NOT NULL AS d, true AS dp, priority IS NULL AS n, false AS ns, k % 2 = 0 AS num, k % 2 = 1 AS str, true AS arr, true AS obj, false AS b, true AS p FROM o")
-statement("object_to_array", "SELECT COUNT(*) AS n FROM events_c WHERE CARDINALITY(ARRAY[_MAP['k']]) = 1 AND IS_DEFINED(_MAP['k'])", "SELECT count(*) AS n FROM events")
+statement("object_to_array", "SELECT c.id, CARDINALITY(OBJECTTOARRAY(c._MAP['ship'])) AS n, ToString(t.e['k']) AS k, ToString(t.e['v']) AS v, CARDINALITY(OBJECTTOARRAY(c._MAP['tags'])) AS z FROM orders_c AS c, UNNEST(OBJECTTOARRAY(c._MAP['ship']['odd name'])) AS t(e)",
+          O + "SELECT id, 1 AS n, 'state' AS k, state AS v, NULL::INTEGER AS z FROM o")
+statement("json_conversions_of_columns", "SELECT event_id, CAST(StringToObject(props)['k'] AS BIGINT) AS k, CARDINALITY(StringToArray('[' || props || ',2]')) AS n, StringToBoolean(CASE WHEN value > 50 THEN 'true' ELSE 'no' END) AS b FROM events", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, 2 AS n, CASE WHEN value > 50 THEN true END AS b FROM events")
+statement("date_functions", "SELECT o_orderkey, EXTRACT(YEAR FROM o_orderdate) AS y, EXTRACT(QUARTER FROM o_orderdate) AS q, EXTRACT(DOY FROM o_orderdate) AS d, EXTRACT(WEEK FROM o_orderdate) AS w, CAST(FLOOR(o_orderdate TO MONTH) AS VARCHAR) AS m, CAST(TIMESTAMPADD(DAY, 40, o_orderdate) AS VARCHAR) AS a, TIMESTAMPDIFF(HOUR, TIMESTAMP '1995-01-01 00:00:00', o_orderdate) AS h FROM orders",
+          "SELECT o_orderkey, year(o_orderdate) AS y, quarter(o_orderdate) AS q, dayofyear(o_orderdate) AS d, weekofyear(o_orderdate) AS w, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d %H:%M:%S') AS m, strftime(o_orderdate + INTERVAL 40 DAY, '%Y-%m-%d %H:%M:%S') AS a, CAST((epoch(o_orderdate) - epoch(TIMESTAMP '1995-01-01')) // 3600 AS INTEGER) AS h FROM orders")
 
 # --- search -----------------------------------------------------------------------------------------
 
@@ -273,78 +295,126 @@ def bm25_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rrf_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     scored = search.with_bm25(search.with_bm25(docs, "text", ["und"], "a"), "text", ["the"], "b").select("doc_id", F.round("a", 6).alias("a"), F.round("b", 6).alias("b"))
-    fused = search.fuse(scored, ["a", "b"], 2**31 - 1, ["doc_id"], [1.0, 2.0])
+    fused = search.fuse(scored, ["a", "b"], weights=[1.0, 2.0])
     return fused.select("doc_id", F.round("score", 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(20)
 
 
 statement("vector_rank", "SELECT vec_id FROM embeddings ORDER BY ROUND(VECTORDISTANCE(embedding, (SELECT embedding FROM embeddings WHERE vec_id = 0)), 9) DESC, vec_id LIMIT 10", "SELECT vec_id FROM embeddings ORDER BY round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 9) DESC, vec_id LIMIT 10")
 statement("vector_distance", "SELECT vec_id, ROUND(VECTORDISTANCE(embedding, (SELECT embedding FROM embeddings WHERE vec_id = 1)), 6) AS d FROM embeddings", "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 1)), 6) AS d FROM embeddings")
 
+statement("rank_by_fusion", "SELECT doc_id FROM documents ORDER BY RRF(FULLTEXTSCORE(text, 'und'), FULLTEXTSCORE(text, 'license', 'the')), doc_id LIMIT 5",
+          _T + _bm25("und", "a") + ", " + _bm25("license", "l") + ", " + _bm25("the", "b") + " SELECT doc_id FROM (SELECT doc_id, rank() OVER (ORDER BY a.s DESC) AS ra, rank() OVER (ORDER BY l.s + b.s DESC) AS rb FROM a JOIN l USING (doc_id) JOIN b USING (doc_id)) ORDER BY 1 / (60 + ra) + 1 / (60 + rb) DESC, doc_id LIMIT 5")
+
 # --- containers on disk -----------------------------------------------------------------------------
 
 
 def _folder(spark: SparkSession) -> str:
-    return f"{spark.conf.get('spark.sql.warehouse.dir')}/folioql-{uuid.uuid4()}"
+    """A new folder that all executors share."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')}/folioql-{uuid.uuid4()}"
 
 
-def _nation_container(spark: SparkSession, sf_dir: str) -> Container:
-    """A written container of the 25 nations, partitioned by region."""
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    docs = nation.select(F.to_variant_object(F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))).alias("doc"))
-    meta, path = ContainerMeta("nations", ("/region",)), _folder(spark)
-    create(docs, meta, path, now=0)
+def _stored(spark: SparkSession, sf_dir: str) -> Container:
+    """All orders as a written container, keyed by status: two of its three keys hold nearly all documents."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    entries = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"))
+    meta, path = ContainerMeta("stored", ("/status",), promoted={"/price": "double"}, buckets=16), _folder(spark)
+    create(orders.select(F.to_variant_object(entries).alias("doc")), meta, path, now=0)
     return Container(spark, meta, path)
 
 
-def _names(df: DataFrame) -> DataFrame:
-    return df.select("id", V.text(V.path(F.col(MAP), "name")).alias("name"), V.num(V.path(F.col(MAP), "region")).cast("int").alias("region"))
+def _sql(c: Container) -> Engine:
+    catalog = Catalog(c.spark)
+    catalog.add("shop", c)
+    return Engine(c.spark, catalog)
+
 
+def _shown(df: DataFrame) -> DataFrame:
+    return df.select("id", V.text(V.path(F.col(MAP), "status")).alias("status"), V.num(V.path(F.col(MAP), "price")).alias("price"))
 
-_N = "SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, n_regionkey AS region FROM nation"
 
+_S = "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, o_totalprice AS price FROM orders"
+_OPEN = "(SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderkey LIMIT 3)"
 
-@query(_N + " WHERE n_regionkey = 2 AND n_nationkey = 8")
+
+@query(_S + " WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'F')")
 def container_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    return _names(point_read(scan(spark, c.meta, c.path), c.meta, "8", 2))
+    c = _stored(spark, sf_dir)
+    key = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'F'").agg(F.max("o_orderkey")).first()[0]
+    return _shown(point_read(scan(spark, c.meta, c.path), c.meta, str(key), "F"))
 
 
-@query(_N + " WHERE n_regionkey = 2 AND n_nationkey IN (8, 9, 1)")
+@query(_S + f" WHERE o_orderkey IN {_OPEN}")
 def container_point_read_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    return _names(point_read_batch(scan(spark, c.meta, c.path), c.meta, ["8", "9", "1", "8"], 2))
+    c = _stored(spark, sf_dir)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    keys = [str(r[0]) for r in orders.where("o_orderstatus = 'O'").orderBy("o_orderkey").limit(3).union(orders.where("o_orderstatus = 'F'").limit(1)).select("o_orderkey").collect()]
+    return _shown(point_read_batch(scan(spark, c.meta, c.path), c.meta, [*keys, keys[0]], "O"))  # the last is in another partition
 
 
-@query(_N + " WHERE n_regionkey = 3")
+@query(_S + " WHERE o_orderstatus = 'P'")
 def container_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    return _names(route(scan(spark, c.meta, c.path), c.meta, 3))
+    c = _stored(spark, sf_dir)
+    return _shown(route(scan(spark, c.meta, c.path), c.meta, "P"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS price FROM orders WHERE o_orderstatus IN ('P', 'F') AND o_totalprice BETWEEN 90000 AND 120000")
+def container_sql_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(_stored(spark, sf_dir)).sql("SELECT id, CAST(_MAP['price'] AS DOUBLE) AS price FROM stored WHERE status IN ('P', 'F') AND _MAP['price'] BETWEEN 90000 AND 120000")
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS priority FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM {_OPEN})")
+def container_sql_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'O'").agg(F.min("o_orderkey")).first()[0]
+    return _sql(_stored(spark, sf_dir)).sql("SELECT id, CAST(_MAP['priority'] AS VARCHAR) AS priority FROM stored WHERE id = ? AND status = ?", str(key), "O")
 
 
-@query(_N + " UNION ALL SELECT '100', 'ATLANTIS', 7")
+@query(_S + " UNION ALL SELECT 'x' || o_orderkey, 'X', o_totalprice + 1 FROM orders WHERE o_orderstatus = 'P'")
 def dml_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    c.insert(spark.range(1).select(F.parse_json(F.lit('{"id":"100","name":"ATLANTIS","region":7,"_ts":5}')).alias("doc")), now=1)
-    return _names(c.df())
+    c = _stored(spark, sf_dir)
+    new = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'P'")
+    c.insert(new.select(F.to_variant_object(F.struct(F.concat(F.lit("x"), "o_orderkey").alias("id"), F.lit("X").alias("status"), (F.col("o_totalprice") + 1).alias("price"), F.lit(5).alias("_ts"))).alias("doc")), now=1)
+    return _shown(c.df())
 
 
-@query(_N + " WHERE NOT (n_name LIKE 'I%')")
+@query(_S + " WHERE NOT (o_orderpriority LIKE '1%')")
 def dml_delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    c.delete_where(V.text(V.path(F.col(MAP), "name")).startswith("I"))
-    return _names(c.df())
+    c = _stored(spark, sf_dir)
+    c.delete_where(V.text(V.path(F.col(MAP), "priority")).startswith("1"))
+    return _shown(c.df())
 
 
-@query(_N + " WHERE n_regionkey <> 1")
+@query(_S + " WHERE o_orderstatus <> 'F'")
 def dml_delete_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    c.delete_partition(1)
-    return _names(c.df())
+    c = _stored(spark, sf_dir)
+    c.delete_partition("F")
+    return _shown(c.df())
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS id, CASE WHEN n_regionkey = 0 THEN 'X' ELSE n_name END AS name, n_regionkey AS region FROM nation")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS price FROM orders")
 def dml_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _nation_container(spark, sf_dir)
-    region = V.num(V.path(F.col(MAP), "region"))
-    c.replace_where(region == 0, F.to_variant_object(F.struct(F.col("id"), F.lit("X").alias("name"), region.cast("int").alias("region"))))
-    return _names(c.df())
+    c = _stored(spark, sf_dir)
+    value = lambda name: V.path(F.col(MAP), name)
+    c.replace_where(V.text(value("status")) == "P", F.to_variant_object(F.struct(F.col("id"), V.text(value("status")).alias("status"), (-V.num(value("price"))).alias("price"))))
+    return _shown(c.df())
+
+
+@query(_S + " UNION ALL SELECT 'n' || n_nationkey, 'N', CAST(n_regionkey AS DOUBLE) FROM nation")
+def dml_sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _sql(_stored(spark, sf_dir))
+    e.catalog.add_view("nation", spark.read.parquet(f"{sf_dir}/nation.parquet"))
+    e.sql("INSERT INTO stored (_MAP, id, status) SELECT MAP['price', n_regionkey], 'n' || CAST(n_nationkey AS VARCHAR), 'N' FROM nation")
+    return _shown(e.catalog.container("stored").df())
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, CASE WHEN o_orderstatus = 'O' AND o_totalprice > 200000 THEN 0 ELSE o_totalprice END AS price FROM orders")
+def dml_sql_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _sql(_stored(spark, sf_dir))
+    e.sql("UPDATE stored SET _MAP = MAP['id', id, 'status', status, 'price', 0] WHERE status = 'O' AND _MAP['price'] > 200000")
+    return _shown(e.catalog.container("stored").df())
+
+
+@query(_S + " WHERE NOT (o_orderstatus = 'F' AND o_totalprice < 100000)")
+def dml_sql_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _sql(_stored(spark, sf_dir))
+    e.sql("DELETE FROM stored WHERE status = 'F' AND _MAP['price'] < 100000")
+    return _shown(e.catalog.container("stored").df())

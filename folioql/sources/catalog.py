@@ -68,7 +68,7 @@ class Catalog:
             for name, c in spec.get("containers", {}).items():
                 composite = tuple(tuple((e["path"], e.get("order", "asc")) for e in i) for i in c.get("compositeIndexes", ()) if len(i) > 1)
                 strip = lambda ps: tuple(ps)
-                meta = ContainerMeta(name, tuple(c.get("partitionKey", ())), composite, strip(c.get("includedPaths", ("/*",))), strip(c.get("excludedPaths", ())), dict(c.get("promoted", {})))
+                meta = ContainerMeta(name, tuple(c.get("partitionKey", ())), composite, strip(c.get("includedPaths", ("/*",))), strip(c.get("excludedPaths", ())), dict(c.get("promoted", {})), c.get("buckets", ContainerMeta.buckets))
                 catalog.add(database, Container(spark, meta, c["path"], LookupCache(limit, expire) if limit else None))
         for name, source in model.get("csv", {}).items():
             catalog.views[name.lower()] = spark.read.csv(source["path"], header=True, schema=source["schema"])

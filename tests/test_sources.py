@@ -3,10 +3,11 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from fixture_documents import PRODUCTS
+from fixture_documents import SHIPMENTS
 from folioql.functions import values as V
 from folioql.functions.sql import register_functions
 from folioql.operators import relational
+from folioql.plans.planner import Engine
 from folioql.sources.catalog import Catalog, LookupCache
 from folioql.sources.container import ContainerMeta, create, from_rows, point_read, scan
 from folioql.sources.documents import build_document, read_rows
@@ -47,18 +48,20 @@ def test_documents_from_rows(spark):
 
 
 def test_catalog_model_and_routing(spark, tmp_path):
-    path = str(tmp_path / "products")
-    create(parsed(spark, *PRODUCTS), ContainerMeta("products", ("/category",), promoted={"/price": "double"}), path, now=5)
-    model = {"databases": {"inventory": {"containers": {"products": {"path": path, "partitionKey": ["/category"], "compositeIndexes": [[{"path": "/name"}], [{"path": "/name"}, {"path": "/price", "order": "desc"}]]}}}}, "views": {"named": "SELECT id, CAST(_MAP['name'] AS VARCHAR) AS name FROM products"}, "lookupCacheMaxRows": 3}
+    path = str(tmp_path / "shipments")
+    create(parsed(spark, *SHIPMENTS), ContainerMeta("shipments", ("/port",), promoted={"/tons": "double"}), path, now=5)
+    (tmp_path / "ports.csv").write_text("port,country\noslo,no\nriga,lv\n")
+    model = {"databases": {"harbour": {"containers": {"shipments": {"path": path, "partitionKey": ["/port"], "promoted": {"/tons": "double"}, "compositeIndexes": [[{"path": "/vessel"}], [{"path": "/vessel"}, {"path": "/tons", "order": "desc"}]]}}}}, "views": {"named": "SELECT id, CAST(_MAP['vessel'] AS VARCHAR) AS name FROM shipments"}, "csv": {"ports": {"path": str(tmp_path / "ports.csv"), "schema": "port string, country string"}}, "lookupCacheMaxRows": 3}
     catalog = Catalog.from_model(spark, model)
-    container = catalog.container("inventory", "products")
-    assert container is catalog.container("products") and catalog.document_count(container) == 7
-    assert len(container.meta.composite_indexes) == 1 and container.meta.serves_order([("/name", "desc"), ("/price", "asc")]) and not container.meta.serves_order([("/name", "asc"), ("/price", "asc")])
-    found = point_read(scan(spark, container.meta, path), container.meta, "3", "shoes")
+    container = catalog.container("harbour", "shipments")
+    assert container is catalog.container("shipments") and catalog.document_count(container) == 8
+    assert len(container.meta.composite_indexes) == 1 and container.meta.serves_order([("/vessel", "desc"), ("/tons", "asc")]) and not container.meta.serves_order([("/vessel", "asc"), ("/tons", "asc")])
+    assert sorted(map(tuple, Engine(spark, catalog).sql("SELECT s.id, p.country FROM shipments AS s JOIN ports AS p ON s.port = p.port WHERE p.country = 'no'").collect())) == [("a", "no"), ("b", "no")]
+    found = point_read(scan(spark, container.meta, path), container.meta, "c", "riga")
     plan = found._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert found.count() == 1 and "PartitionFilters: [isnotnull(_pk0" in plan
+    assert found.count() == 1 and "PartitionFilters: [isnotnull(_bucket" in plan and "EqualTo(_pk0,s:riga)" in plan
     catalog.register_views()
-    assert spark.table("inventory__products").count() == 7
+    assert spark.table("harbour__shipments").count() == 8
     with pytest.raises(ValueError):
         ContainerMeta("x", ("/a", "/b", "/c", "/d"))
 
@@ -101,13 +104,13 @@ def test_sql_functions(spark):
 
 
 def test_streaming(spark, tmp_path):
-    meta, path = ContainerMeta("products", ("/category",)), str(tmp_path / "s")
-    create(parsed(spark, *PRODUCTS), meta, path, now=600)
+    meta, path = ContainerMeta("shipments", ("/port",)), str(tmp_path / "s")
+    create(parsed(spark, *SHIPMENTS), meta, path, now=600)
     stream = counts_by_window(changes(spark, meta, path), "5 minutes", "1 minute")
     q = stream.writeStream.outputMode("complete").format("memory").queryName("counted").start()
     q.processAllAvailable()
     q.stop()
-    assert [r.n for r in spark.sql("SELECT n FROM counted").collect()] == [7]
+    assert [r.n for r in spark.sql("SELECT n FROM counted").collect()] == [8]
 
 
 def test_as_of_join(spark):
@@ -115,3 +118,29 @@ def test_as_of_join(spark):
     right = spark.createDataFrame([(1, 2, "a"), (1, 5, "b"), (1, 6, "c")], "k int, u int, v string")
     got = sorted(tuple(r) for r in relational.as_of_join(left, right, "t", "u", ["k"]).select("k", "t", "v").collect())
     assert got == [(1, 1, None), (1, 5, "b"), (2, 9, None)]
+
+
+def test_as_of_join_over_many_ranges(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(relational, "TIME_RANGES", 7)
+    r = random.Random(3)
+    left = [(r.choice([1, 1, 1, 2, None]), r.choice([None, *range(50)]), i) for i in range(300)]
+    right = [(r.choice([1, 1, 2, 3]), r.choice([None, *range(50)])) for _ in range(60)]
+    got = relational.as_of_join(spark.createDataFrame(left, "k int, t int, i int"), spark.createDataFrame(right, "k int, u int"), "t", "u", ["k"]).collect()
+    want = {i: max((u for j, u in right if j == k and u is not None and t is not None and u <= t), default=None) for k, t, i in left}
+    assert {x.i: x.u for x in got} == want and len(got) == len(left)
+
+
+def test_ranks_of_fusion_against_counting(spark, monkeypatch):
+    import random
+
+    from folioql.functions import search
+
+    monkeypatch.setattr(search, "RANGES", 9)
+    r = random.Random(4)
+    rows = [(i, r.choice([None, *range(40)]), float(r.randrange(500))) for i in range(400)]
+    df = spark.createDataFrame(rows, "i int, a int, b double").withColumn("a", F.col("a").cast("double"))
+    got = {x.i: x.score for x in search.fuse(df, ["a", "b"]).collect()}
+    rank = lambda k, v: 1 + sum(x[k] is not None and x[k] > v for x in rows)
+    assert all(abs(got[i] - ((1 / (60 + rank(1, a)) if a is not None else 0) + 1 / (60 + rank(2, b)))) < 1e-12 for i, a, b in rows)

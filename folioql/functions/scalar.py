@@ -56,8 +56,8 @@ def _by_key(s: Column):
 
 def array_union(a: Column, b: Column) -> Column:
     """Without duplicates, in order of first appearance."""
-    both = F.concat(a, b)
-    return _let(F.struct(both.alias("v"), _keys(both).alias("k")), lambda s: F.transform(F.array_distinct(s["k"]), _by_key(s)))
+    keyed = _let(F.concat(a, b), lambda v: F.struct(v.alias("v"), _keys(v).alias("k")))
+    return _let(keyed, lambda s: F.transform(F.array_distinct(s["k"]), _by_key(s)))
 
 
 def array_intersect(a: Column, b: Column) -> Column:

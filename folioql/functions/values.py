@@ -217,11 +217,9 @@ def cast_boolean(value: Column, safe: bool = False) -> Column:
 
 def cast_text(value: Column) -> Column:
     """Strings as they are, numbers and booleans as printed, arrays and objects as JSON text."""
-    t = type_of(value)
     printed = F.try_variant_get(value, "$", "string")
     number = number_text(F.try_variant_get(value, "$", "double"))
-    whole = F.schema_of_variant(value).startswith("BIGINT")
-    return F.when(t == "number", F.when(whole, printed).otherwise(number)).when(t.isin("array", "object"), F.to_json(value)).when(t != "null", printed)
+    return by_kind(value, lambda k: F.when(k.isNull() | (k == "VOI"), None).when(k.isin("ARR", "OBJ"), F.to_json(value)).when((k != "BIG") & k.isin(*NUMBER_KINDS), number).otherwise(printed))
 
 
 def cast_value(value: Column, kind: str, safe: bool = False) -> Column:

@@ -248,9 +248,8 @@ class Planner:
         c, kind = self.plan(x, Scope.of(df))
         element = f"{alias}.{columns[0] if columns else alias}"
         elements = V.array(V.norm(c)) if kind == "any" else c
-        if x[0] != "col":  # computed once: Catalyst repeats a generator's input in the filters it infers
-            df = df.select("*", F.explode(F.array(elements)).alias("_elements"))
-            elements = F.col("_elements")
+        # computed once: Catalyst repeats a generator's input in the filters it infers
+        df, elements = df.select("*", F.explode(F.array(elements)).alias("_elements")), F.col("_elements")
         f = {(False, False): F.explode, (False, True): F.explode_outer, (True, False): F.posexplode, (True, True): F.posexplode_outer}[ordinal, outer]
         if not ordinal:
             return df.select("*", f(elements).alias(element)).drop("_elements")
@@ -524,7 +523,11 @@ class Planner:
     def listed(self, s: Column, sep: str, within: list, scope: Scope) -> Column:
         """LISTAGG in the order of its keys, each with its own direction and place of nulls; ties by the text."""
         keys = [(self.plan(x, scope), d, (nulls or ("last" if d == "asc" else "first")) == "first") for x, d, nulls in within]
-        row = F.struct(*(x for i, (t, _, _) in enumerate(keys) for x in ((V.sort_key(t[0]) if t[1] == "any" else t[0]).alias(f"k{i}"),)), s.alias("s"))
+        values = [V.sort_key(t[0]) if t[1] == "any" else t[0] for t, _, _ in keys]
+        if all(d == "asc" and not first for _, d, first in keys):  # the order of structs, with nulls last
+            row = F.struct(*(x.alias(f"{n}{i}") for i, v in enumerate(values) for n, x in (("n", v.isNull()), ("k", v))), s.alias("s"))
+            return F.array_join(F.transform(F.sort_array(F.collect_list(F.when(s.isNotNull(), row))), lambda p: p["s"]), sep)
+        row = F.struct(*(v.alias(f"k{i}") for i, v in enumerate(values)), s.alias("s"))
 
         def compare(a: Column, b: Column) -> Column:
             order = F.when(a["s"] < b["s"], -1).when(a["s"] > b["s"], 1).otherwise(0)

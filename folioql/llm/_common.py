@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one is set only where the session names none (tests)."""
+    """The folder all executors share; a temporary one is set only on a local master that names none (tests)."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="folioql-"))
     return named or context._jsc.sc().getCheckpointDir().get()
 

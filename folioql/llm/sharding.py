@@ -2,13 +2,13 @@
 
 Each dimension becomes one of 2^bits cells between quantiles of the data: of strings themselves, and
 otherwise of a number that keeps the order.  The Hilbert index of the cells orders the rows; rows of
-one cell are ordered by a hash and the id.  The global rank comes from one range-partitioned sort
+one cell are ordered by a hash of their row.  The global rank comes from one range-partitioned sort
 and a table of partition counts, and equal runs of ranks are the shards, so files are narrow in every
 dimension at once and all `shards` counts are at most one apart.
 
 Edge cases: null dimensions count as lower than all values; null texts have size 1 and the CRC of
 nothing.  A hot value is only a wide cell: its rows are spread by the hash, never kept together.
-Repeated rows get slots of their own.  An empty table gives no rows.  Extra columns are ignored.
+Repeated rows, and rows of one id, spread as others do and get slots of their own.  An empty table gives no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,10 +135,9 @@ def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("lang", "source
     """id, size, text_crc32, law, shard, slot, grown_shard and curve of every row."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_column), *(F.col(d).alias(f"_d{k}") for k, d in enumerate(dimensions)), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    rows = cut(rows)
+    rows = cut(rows).withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))  # of the written table: the same on every run
     curved = with_curve(rows, [f"_d{k}" for k in range(len(dimensions))], bits).drop(*(f"_d{k}" for k in range(len(dimensions))))
-    curved = curved.withColumn("_tie", F.xxhash64(id_column, "text_crc32"))
-    ranked, total = with_rank(curved, "curve", "_tie", id_column)
+    ranked, total = with_rank(curved, "curve", "_tie")
     # shard k holds the ranks from ceil(k * total / shards) on
     shard = F.expr(f"(rank * {shards}) div {max(1, total)}")
     return (

@@ -29,3 +29,37 @@ def test_run(spark, tmp_path, messy):
     messy.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def brute_run(rows, library):
+    """What the pipeline keeps of documents that all have a language, worked out row by row."""
+    kept = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    kept = [r for r, b in zip(kept, brute_copies(kept)) if b[3]]
+    near = brute_near([r for r in kept if r[0] is not None])
+    pieces = []
+    for i, t, *_ in (r for r in kept if r[0] is None or near[r[0]][1] == r[0]):
+        n = len(library.encode(t, add_special_tokens=False).ids) + 1
+        pieces += [(i, k, low, min(2048, n - low)) for k, low in enumerate(range(0, n, 2048))]
+    return pieces
+
+
+def test_run_against_brute_force(spark, tmp_path, messy, rows, vocabulary):
+    from tokenizers import Tokenizer
+
+    messy.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str((r.doc_id, r.piece, r.start, r.length)) for r in out) == sorted(map(str, brute_run(rows, Tokenizer.from_file(vocabulary))))
+    filled = {}
+    for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+        assert filled.setdefault(r.sequence_id, 0) == r.offset
+        filled[r.sequence_id] += r.length
+    assert max(filled.values()) <= 2048
+
+
+def test_empty_tables_pass_every_stage(spark, tmp_path, empty):
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        assert docs.count() == 0
+    empty.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

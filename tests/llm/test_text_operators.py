@@ -1,3 +1,4 @@
+import os
 import re
 import textwrap
 import zlib
@@ -179,6 +180,35 @@ def test_viterbi_against_plain_dynamic_programming():
         at += n
 
 
+def test_language_query(spark):
+    """The registered query on the supplied table: contract, split and held-out accuracy."""
+    from folioql.llm import registry
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("needs the supplied tables")
+    truth = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = registry.op10_language_spans(spark, folder).collect()
+    learned = {r.lang for i, r in truth.items() if r.lang is not None and zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sorted(r.doc_id for r in got) == sorted(truth)
+    right = total = 0
+    for r in got:
+        text, lang = truth[r.doc_id].text, truth[r.doc_id].lang
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (not text or not any(c.isalpha() for c in text)) and r.lang_pred in {*learned, "und"}
+        if r.held_out and lang in learned and r.lang_pred != "und":
+            right, total = right + (r.lang_pred == lang), total + 1
+    assert total > 20 and right >= 0.95 * total
+
+
+def test_model_beats_the_base_on_held_out_texts(spark):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("needs the supplied tables")
+    sums = lm.score(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert sums[0] > sums[1] + 0.1 * sums[2]
+
+
 # --- language model ---
 
 

@@ -26,7 +26,7 @@ Typed = tuple[Column, str]
 WHOLE = {"tinyint", "smallint", "int", "bigint"}
 NUMBERS = WHOLE | {"float", "double"}
 SCORING = {"fulltextscore", "rrf"}
-AGGREGATES = {"count", "sum", "min", "max", "avg", "stddev", "stddev_pop", "stddev_samp", "variance", "var_pop", "var_samp", "listagg", "array_agg", "collect", "any_value", "bool_and", "bool_or", "every", "some", "approx_count_distinct", "grouping"}
+AGGREGATES = {"count", "sum", "min", "max", "avg", "stddev", "stddev_pop", "stddev_samp", "variance", "var_pop", "var_samp", "listagg", "array_agg", "collect", "any_value", "bool_and", "bool_or", "every", "some", "approx_count_distinct", "grouping", "percentile_cont", "percentile_disc", "median", "approx_percentile"}
 WINDOWS = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead", "first_value", "last_value"}
 
 
@@ -546,6 +546,8 @@ class Planner:
         only = (lambda c: F.when(keep, c)) if keep is not None else (lambda c: c)
         if name == "count" and args[0][0] == "star":
             return F.count(only(F.lit(1))), "bigint"
+        if name in ("percentile_cont", "percentile_disc", "median", "approx_percentile"):
+            return self.percentile(name, args, extra, scope, only)
         c, kind = self.plan(args[0], scope)
         if name in ("count", "approx_count_distinct"):
             key = only(V.canon_key(c) if kind == "any" and (extra.get("distinct") or name != "count") else V.norm(c) if kind == "any" else c)
@@ -578,6 +580,23 @@ class Planner:
         f = {"stddev": F.stddev_samp, "variance": F.var_samp}.get(name) or getattr(F, name)
         return f(c), result
 
+    def percentile(self, name: str, args: list, extra: dict, scope: Scope, only) -> Typed:
+        """Numbers only.  Exact ones count the distinct values of a group; the approximate one is bounded in memory."""
+        if name in ("percentile_cont", "percentile_disc"):
+            x, direction, _ = (extra.get("within") or [(args[-1], "asc", None)])[0]
+            share = float(self.as_literal(args[0]))
+        else:
+            x, direction, share = args[0], "asc", 0.5 if name == "median" else float(self.as_literal(args[1]))
+        c, kind = self.as_number(self.plan(x, scope))
+        c, share = only(c), share if direction == "asc" else 1 - share
+        if name == "approx_percentile":
+            return F.percentile_approx(c, share), kind
+        if name != "percentile_disc":
+            return F.percentile(c.cast("double"), F.lit(share)), "double"
+        ordered = F.sort_array(F.collect_list(c), direction == "asc")
+        share = share if direction == "asc" else 1 - share
+        return F.get(ordered, F.greatest(F.ceil(F.size(ordered) * F.lit(share)).cast("int") - 1, F.lit(0))), kind
+
     def windowed(self, call: tuple, scope: Scope) -> Typed:
         _, name, args, extra = call
         partition, order = extra["over"]
@@ -853,6 +872,8 @@ class Planner:
 
     def _scalar(self, x: tuple, scope: Scope) -> Typed:
         df = self.query(x[1])
+        if len(df.columns) != 1:
+            raise SqlError("a scalar query gives one column")
         (f,) = df.schema
         return df.scalar(), kind_of(f.dataType)
 

@@ -20,6 +20,7 @@ from folioql.plans.planner import Engine
 from folioql.sources.catalog import Catalog
 from folioql.sources.container import MAP, ContainerMeta, create, point_read, point_read_batch, route, scan
 from folioql.sources.dml import Container
+from folioql.streaming.changes import changes, counts_by_window
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 PRIORITIES = "array('1-URGENT', '2-HIGH', '3-MEDIUM')"
@@ -184,6 +185,9 @@ statement("select_distinct", "SELECT DISTINCT CAST(_MAP['priority'] AS VARCHAR)
 statement("agg_over_limit", "SELECT COUNT(*) AS n, MAX(id) AS m FROM (SELECT id FROM orders_c ORDER BY id LIMIT 17) AS t", O + "SELECT count(*) AS n, max(id) AS m FROM (SELECT id FROM o ORDER BY id LIMIT 17)")
 statement("agg_over_agg", "SELECT MAX(n) AS m, COUNT(*) AS g FROM (SELECT COUNT(*) AS n FROM orders_c GROUP BY _MAP['custkey']) AS t", O + "SELECT max(n) AS m, count(*) AS g FROM (SELECT count(*) AS n FROM o GROUP BY cust)")
 statement("agg_filter", "SELECT COUNT(*) FILTER (WHERE _MAP['status'] = 'F') AS f, SUM(_MAP['custkey']) FILTER (WHERE _MAP['price'] > 100000) AS s FROM orders_c", O + "SELECT count(*) FILTER (WHERE status = 'F') AS f, CAST(sum(cust) FILTER (WHERE price > 100000) AS DOUBLE) AS s FROM o")
+statement("distinct_aggregates", "SELECT CAST(_MAP['status'] AS VARCHAR) AS s, SUM(DISTINCT _MAP['custkey']) AS t, AVG(DISTINCT _MAP['custkey']) AS a, MIN(DISTINCT o_custkey) AS m FROM (SELECT c._MAP AS _MAP, CAST(c._MAP['custkey'] AS BIGINT) AS o_custkey FROM orders_c AS c) AS t GROUP BY _MAP['status']", O + "SELECT status AS s, CAST(sum(DISTINCT cust) AS DOUBLE) AS t, avg(DISTINCT cust) AS a, min(cust) AS m FROM o GROUP BY status")
+statement("statistics", "SELECT CAST(_MAP['priority'] AS VARCHAR) AS p, ROUND(STDDEV(_MAP['price']), 3) AS sd, ROUND(VAR_POP(_MAP['price']) / 1000000, 3) AS v, ROUND(PERCENTILE_CONT(0.25) WITHIN GROUP (ORDER BY _MAP['price']), 4) AS q, PERCENTILE_DISC(0.5) WITHIN GROUP (ORDER BY _MAP['price'] DESC) AS d, ROUND(MEDIAN(_MAP['price']), 4) AS m, CARDINALITY(ARRAY_AGG(id)) AS n FROM orders_c GROUP BY _MAP['priority']",
+          O + "SELECT priority AS p, round(stddev(price), 3) AS sd, round(var_pop(price) / 1000000, 3) AS v, round(quantile_cont(price, 0.25), 4) AS q, percentile_disc(0.5) WITHIN GROUP (ORDER BY price DESC) AS d, round(median(price), 4) AS m, CAST(count(*) AS INTEGER) AS n FROM o GROUP BY priority")
 statement("listagg", "SELECT n_regionkey, LISTAGG(n_name, ',') WITHIN GROUP (ORDER BY n_name) AS l FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS l FROM nation GROUP BY n_regionkey")
 statement("listagg_documents", "SELECT CAST(_MAP['priority'] AS VARCHAR) AS p, LISTAGG(id, ',') WITHIN GROUP (ORDER BY _MAP['custkey'] DESC, _MAP['price']) AS l FROM orders_c WHERE _MAP['custkey'] < 30 GROUP BY _MAP['priority']", O + "SELECT priority AS p, string_agg(id, ',' ORDER BY cust DESC, price) AS l FROM o WHERE cust < 30 GROUP BY priority")
 statement("listagg_mixed", "SELECT _MAP['custkey'] AS c, LISTAGG(id, ',') WITHIN GROUP (ORDER BY _MAP['status'] DESC NULLS LAST, _MAP['label'], id DESC) AS l FROM orders_c GROUP BY _MAP['custkey']".replace("_MAP['custkey'] AS c", "CAST(_MAP['custkey'] AS BIGINT) AS c"), O + "SELECT cust AS c, string_agg(id, ',' ORDER BY status DESC NULLS LAST, k % 2, id DESC) AS l FROM o GROUP BY cust")
@@ -255,6 +259,7 @@ statement("string_functions", "SELECT p_partkey, UPPER(p_name) AS u, LOWER(p_bra
 statement("trim_functions", "SELECT p_partkey, TRIM('  ' || p_brand || ' ') AS a, LTRIM(' ' || p_brand) AS b, RTRIM(p_brand || ' ') AS c, TRIM(BOTH 'B' FROM p_brand) AS d, TRIM(LEADING 'B' FROM p_brand) AS e FROM part", "SELECT p_partkey, trim('  ' || p_brand || ' ') AS a, ltrim(' ' || p_brand) AS b, rtrim(p_brand || ' ') AS c, trim(p_brand, 'B') AS d, ltrim(p_brand, 'B') AS e FROM part")
 statement("math_functions", "SELECT p_partkey, ABS(-p_retailprice) AS a, ROUND(EXP(p_size / 50.0), 9) AS e, ROUND(LN(p_retailprice), 9) AS ln, ROUND(LOG10(p_retailprice), 9) AS lg, ROUND(POWER(p_size, 2), 6) AS pw, ROUND(SQRT(p_retailprice), 9) AS sq, SIGN(p_size - 25) AS sg, ROUND(p_retailprice) AS r, FLOOR(p_retailprice) AS f, CEIL(p_retailprice) AS c, TRUNCATE(-p_retailprice) AS t, MOD(p_size, 7) AS m, p_size / 7 AS d, ROUND(CBRT(p_size), 9) AS cb FROM part",
           "SELECT p_partkey, abs(-p_retailprice) AS a, round(exp(p_size / 50.0), 9) AS e, round(ln(p_retailprice), 9) AS ln, round(log10(p_retailprice), 9) AS lg, round(power(p_size, 2), 6) AS pw, round(sqrt(p_retailprice), 9) AS sq, CAST(sign(p_size - 25) AS DOUBLE) AS sg, round(p_retailprice) AS r, floor(p_retailprice) AS f, ceil(p_retailprice) AS c, trunc(-p_retailprice) AS t, p_size % 7 AS m, CAST(p_size // 7 AS INTEGER) AS d, round(cbrt(p_size), 9) AS cb FROM part")
+statement("math_functions_of_two", "SELECT p_partkey, ROUND(LOG(2, p_retailprice), 9) AS l, ROUND(p_retailprice / 7, 2) AS r, TRUNCATE(-p_retailprice / 7, 1) AS t, POSITION('a' IN p_name FROM 3) AS p FROM part", "SELECT p_partkey, round(ln(p_retailprice) / ln(2), 9) AS l, round(p_retailprice / 7, 2) AS r, trunc(-p_retailprice / 7 * 10) / 10 AS t, CAST(CASE WHEN position('a' IN substring(p_name, 3)) > 0 THEN position('a' IN substring(p_name, 3)) + 2 ELSE 0 END AS INTEGER) AS p FROM part")
 statement("trig_functions", "SELECT p_partkey, ROUND(SIN(p_size), 9) AS s, ROUND(COS(p_size), 9) AS c, ROUND(TAN(p_size), 9) AS t, ROUND(COT(p_size), 9) AS ct, ROUND(ASIN(p_size / 100.0), 9) AS a, ROUND(ACOS(p_size / 100.0), 9) AS ac, ROUND(ATAN(p_size), 9) AS at, ROUND(ATAN2(p_size, 3), 9) AS a2, ROUND(DEGREES(p_size), 9) AS d, ROUND(RADIANS(p_size), 9) AS r, ROUND(PI(), 12) AS p FROM part",
           "SELECT p_partkey, round(sin(p_size), 9) AS s, round(cos(p_size), 9) AS c, round(tan(p_size), 9) AS t, round(cot(p_size), 9) AS ct, round(asin(p_size / 100.0), 9) AS a, round(acos(p_size / 100.0), 9) AS ac, round(atan(p_size), 9) AS at, round(atan2(p_size, 3), 9) AS a2, round(degrees(p_size), 9) AS d, round(radians(p_size), 9) AS r, round(pi(), 12) AS p FROM part")
 statement("regexmatch", "SELECT p_partkey FROM part WHERE REGEXMATCH(p_type, '^s.*l$', 'i')", "SELECT p_partkey FROM part WHERE regexp_matches(p_type, '^s.*l$', 'i')")
@@ -418,3 +423,18 @@ def dml_sql_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _sql(_stored(spark, sf_dir))
     e.sql("DELETE FROM stored WHERE status = 'F' AND _MAP['price'] < 100000")
     return _shown(e.catalog.container("stored").df())
+
+
+# --- streams ----------------------------------------------------------------------------------------
+
+
+@query("SELECT CAST(0 AS BIGINT) AS start, count(*) AS n FROM orders UNION ALL SELECT 900, count(*) FROM orders WHERE o_orderstatus = 'P'")
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written to a container by windows of five minutes, as a stream that reads what is there and ends."""
+    c = _stored(spark, sf_dir)
+    new = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'P'")
+    c.insert(new.select(F.to_variant_object(F.struct(F.concat(F.lit("x"), "o_orderkey").alias("id"), F.lit("X").alias("status"))).alias("doc")), now=1000)
+    name = f"counted_{uuid.uuid4().hex}"
+    stream = counts_by_window(changes(spark, c.meta, c.path), "5 minutes", "1 minute").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    stream.awaitTermination()
+    return spark.table(name).select(F.unix_seconds("window.start").alias("start"), "n")

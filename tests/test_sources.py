@@ -101,6 +101,10 @@ def test_sql_functions(spark):
     register_functions(spark)
     row = spark.sql("SELECT is_defined(parse_json('null')) a, is_null(parse_json('null')) b, doc_num(parse_json('\"1\"')) c, tostring(parse_json('[1]')) d, is_array(stringtoarray('[1]')) e, fulltextcontains('A b', 'B') f").first()
     assert tuple(row) == (True, True, None, "[1]", True, True)
+    array = lambda t: f"doc_array(parse_json('{t}'))"
+    row = spark.sql(f"""SELECT objecttoarray(parse_json('{{"a":1}}'))[0].k, objecttoarray(parse_json('[1]')), to_json(array_slice({array("[1,2,3]")}, -2, 1)), to_json(doc_array_union({array('[1,"1"]')}, {array('[1.0,null,2]')})),
+      to_json(doc_array_intersect({array('[1,2,null]')}, {array('[2.0,null,3]')})), size(doc_array_concat({array('[1]')}, {array('[1]')})), round(vectordistance(array(1D, 0D), array(1D, 1D)), 6)""").first()
+    assert tuple(row) == ("a", None, "[2]", '[1,"1",null,2]', "[2,null]", 2, 0.707107)
 
 
 def test_streaming(spark, tmp_path):

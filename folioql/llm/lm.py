@@ -184,12 +184,17 @@ class Model:
 
 
 def tables(r: np.ndarray, q: np.ndarray, m1: np.ndarray, m2: np.ndarray, bias: np.ndarray) -> Model:
-    """All normalisers as one matrix product."""
+    """All normalisers as one matrix product, a block of contexts at a time: only one table of all pairs of classes is held."""
     a, b = r @ m1.T, r @ m2.T
-    first, second = a @ q.T, b @ q.T + bias
-    high1, high2 = first.max(axis=1, keepdims=True), second.max(axis=1, keepdims=True)
-    normal = np.log(np.exp(first - high1) @ np.exp(second - high2).T) + high1 + high2.T
-    return Model(*(x.astype(np.float32) for x in (a, b, q, bias, normal)))
+    second = (b @ q.T + bias).astype(np.float32)
+    high2 = second.max(axis=1, keepdims=True)
+    second = np.exp(np.subtract(second, high2, out=second), out=second)
+    normal = np.empty((len(r), len(r)), np.float32)
+    for low in range(0, len(r), 256):
+        first = a[low : low + 256] @ q.T
+        high1 = first.max(axis=1, keepdims=True)
+        normal[low : low + 256] = np.log(np.exp(first - high1).astype(np.float32) @ second.T) + high1 + high2.T
+    return Model(*(x.astype(np.float32) for x in (a, b, q, bias)), normal)
 
 
 PARTS = ("r", "q", "m1", "m2", "bias")
@@ -220,14 +225,17 @@ def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _rows(p: dict, name: str, at: np.ndarray, grad: np.ndarray, turn: np.ndarray | None = None) -> None:
     """Adagrad on the rows `at`, whose gradients are summed first (and then turned by a matrix)."""
     order = np.argsort(at.astype(np.uint16), kind="stable")
-    own = at[order]
-    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    own, total = own[first], np.add.reduceat(grad.take(order, 0), first, axis=0)
+    own = at.take(order)
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    own, total = own.take(first), np.add.reduceat(grad.take(order, 0), first, axis=0)
     if turn is not None:
         total = total @ turn
-    squares = p[f"+{name}"].take(own, 0) + total * total
+    squares = p[f"+{name}"].take(own, 0)
+    squares += total * total
     p[f"+{name}"][own] = squares
-    p[name][own] += np.float32(RATE) * total / np.sqrt(squares)
+    total *= np.float32(RATE)
+    total /= np.sqrt(squares)
+    p[name][own] += total
 
 
 def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, target: np.ndarray, noise: np.ndarray, rng: np.random.Generator, touched: dict[str, np.ndarray]) -> None:
@@ -238,12 +246,14 @@ def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, targ
     r, q, m1, m2, bias = (p[k] for k in PARTS)
     n = len(noise)
     cumulated, offset = np.cumsum(noise), (np.log(noise) + np.log(NOISE)).astype(np.float32)
-    half = np.float32(0.5)
+    half, rate, samples = np.float32(0.5), np.float32(RATE), []
     for part in np.array_split(rng.permutation(len(target)), max(1, len(target) // BATCH)):
         a, b, c = before.take(part), last.take(part), target.take(part)
         drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE) * cumulated[-1], side="right"), n - 1)
+        samples.append(drawn)
         ra, rb, qc, qd = r.take(a, 0), r.take(b, 0), q.take(c, 0), q.take(drawn, 0)
-        context = ra @ m1.T + rb @ m2.T
+        context = ra @ m1.T
+        context += rb @ m2.T
         # P(data) against NOISE noise samples a token; the normaliser is taken as 1
         true = np.einsum("ij,ij->i", context, qc) + bias[c] - offset[c]
         false = context @ qd.T
@@ -253,20 +263,21 @@ def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, targ
         push = np.tanh(np.multiply(false, half, out=false), out=false)
         push += np.float32(1)
         push *= -half
-        g_context = pull[:, None] * qc + push @ qd
+        g_context = push @ qd
+        g_context += np.multiply(pull[:, None], qc, out=qc)
         at = np.concatenate([c, drawn])
         g_m1, g_m2, old1, old2 = g_context.T @ ra, g_context.T @ rb, m1.copy(), m2.copy()
         _rows(p, "q", at, np.concatenate([pull[:, None] * context, push.T @ context]))
         g_bias = np.bincount(at, np.concatenate([pull, push.sum(axis=0)]), n).astype(np.float32)
         p["+bias"] += g_bias**2
-        bias += np.float32(RATE) * g_bias / np.sqrt(p["+bias"])
+        bias += rate * g_bias / np.sqrt(p["+bias"])
         _rows(p, "r", a, g_context, old1)
         _rows(p, "r", b, g_context, old2)
         for k, g in (("m1", g_m1), ("m2", g_m2)):
             p[f"+{k}"] += g**2
-            p[k] += np.float32(RATE) * g / np.sqrt(p[f"+{k}"])
-        touched["q"] += np.bincount(at, minlength=n)
-        touched["r"] += np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+            p[k] += rate * g / np.sqrt(p[f"+{k}"])
+    touched["q"] += np.bincount(target, minlength=n) + np.bincount(np.concatenate(samples), minlength=n)
+    touched["r"] += np.bincount(before, minlength=n) + np.bincount(last, minlength=n)
 
 
 def noise_of(counts: np.ndarray) -> np.ndarray:

@@ -47,6 +47,8 @@ KNOWN_WORDS = 200_000
 CLASSES_BY, LEAST_CLASSES, MOST_CLASSES, SPELLING = 2, 256, 4096, 8
 #: SAMPLE_TOKENS is what a task shuffles at a time and has at least between two averages; all tokens are trained on.
 SAMPLE_TOKENS, DIMENSIONS, NOISE, BATCH, EPOCHS, RATE = 1_500_000, 24, 64, 2048, 3, 0.1
+#: Sums of parameters that are added in one task.
+FAN_IN = 16
 #: Distinct words a task counts before it hands them on.
 COUNTED = 1_000_000
 #: Hash and signature of the end token; no word has suffix 0.
@@ -304,13 +306,13 @@ def train_everywhere(streams: DataFrame, counts: np.ndarray, tokens: int, share_
     """The model of all `streams` (column ids: classes of whole training texts), and how many tokens its passes read.
 
     In each epoch every task goes once over all its texts, `share_tokens` or so in memory at a time,
-    and the parameters are averaged, row by row by the number of updates.  Sums are added up in about
-    sqrt(tasks) groups, so the driver's part stays small.
+    and the parameters are averaged, row by row by the number of updates.  Sums are added up by FAN_IN
+    at a time, so that neither a task nor the driver gets more of them, however many tasks there are.
     """
     spark, p, n, read = streams.sparkSession, start(counts, seed=seed), len(counts), 0
     # too short shares would hardly move between two averages
     streams = streams.coalesce(max(1, -(-tokens // share_tokens)))
-    groups = max(1, int(np.sqrt(streams.rdd.getNumPartitions())))
+    tasks = streams.rdd.getNumPartitions()
     shapes, noise = {k: v.shape for k, v in p.items()}, noise_of(counts)
 
     def packed(sums, touched, seen):
@@ -325,7 +327,7 @@ def train_everywhere(streams: DataFrame, counts: np.ndarray, tokens: int, share_
 
     def add(batch: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, "<f8") for x in batch["flat"].to_pylist())
-        return pa.table({"flat": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"grp": batch["grp"].slice(0, 1), "flat": pa.array([total.tobytes()], pa.binary())})
 
     for epoch in range(epochs):
         shared = spark.sparkContext.broadcast(p)
@@ -351,9 +353,13 @@ def train_everywhere(streams: DataFrame, counts: np.ndarray, tokens: int, share_
             seen += size
             weights = _weights(touched, seen)
             flat = packed({k: v * weights[k] for k, v in own.items()}, touched, seen)
-            yield pa.RecordBatch.from_pydict({"grp": pa.array([part % groups], pa.int32()), "flat": pa.array([flat.tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"grp": pa.array([part], pa.int64()), "flat": pa.array([flat.tobytes()], pa.binary())})
 
-        got = streams.mapInArrow(run, "grp int, flat binary").groupBy("grp").applyInArrow(lambda t: add(t), "flat binary").toArrow()
+        sums_, width = streams.mapInArrow(run, "grp long, flat binary"), tasks
+        while width > 1:
+            sums_ = sums_.withColumn("grp", F.floor(F.col("grp") / FAN_IN)).groupBy("grp").applyInArrow(lambda t: add(t), "grp long, flat binary")
+            width = -(-width // FAN_IN) if width > FAN_IN else 1
+        got = sums_.select("flat").toArrow()
         if got.num_rows:
             sums, touched, seen = unpacked(sum(np.frombuffer(x, "<f8") for x in sorted(got["flat"].to_pylist())))
             weights = _weights(touched, seen)

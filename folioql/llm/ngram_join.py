@@ -90,7 +90,7 @@ def _buckets(df: DataFrame, elements: int) -> int:
 
 def _spread(batch: int, rows: int, buckets: int) -> list[int]:
     """A bucket for each row of a batch, by a mixed hash of its place."""
-    place = np.uint64(batch) * np.uint64(MULTIPLIER) + np.arange(rows, dtype=np.uint64)
+    place = np.uint64(batch * MULTIPLIER % 2**64) + np.arange(rows, dtype=np.uint64)
     return (mix(mix(place)) % np.uint64(buckets)).astype(np.int64).tolist()
 
 

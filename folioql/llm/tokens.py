@@ -27,6 +27,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import chain, compress, islice
 
 import numpy as np
@@ -533,5 +534,8 @@ def _encoded(docs: DataFrame, vocabulary: str, id_column: str, text: str, lexico
 
 def decode(ids: Iterable[int], vocabulary: str) -> str:
     """What the library's decode(ids, skip_special_tokens=False) returns for a vocabulary without a decoder."""
-    token_of = WordBpe(vocabulary).token_of
+    token_of = _vocabulary(vocabulary).token_of
     return " ".join(token_of[i] for i in ids)
+
+
+_vocabulary = lru_cache(maxsize=1)(WordBpe)

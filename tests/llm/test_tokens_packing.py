@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from folioql.llm import packing, tokens
+from folioql.llm import packing, tokens, wordhash
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +25,24 @@ def test_encoder_equals_library(library, vocabulary):
             assert shown == library.decode(want, skip_special_tokens=False) == tokens.decode(want, vocabulary)
 
 
+def test_ids_by_hashes_equal_library(library, vocabulary, monkeypatch):
+    r = random.Random(6)
+    signs = "abcXYZ .,!?'-_<|>\"é ñÉİΣςßıǅ\u0301\u0308\x1c1290日本語\u2003\u2028\xa0\t\n"
+    texts = ["", None, "x" * 5000 + " " + "xy" * 40, "a.b.. c''s D'LL", "<|endoftext|>a<|x|>", *("".join(r.choice(signs) for _ in range(r.randrange(60))) for _ in range(3000))]
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(tokens.IdEncoder(vocabulary, shown=False).ids_batch(texts)) == want
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 300)  # the memo is cut again and again
+    small = tokens.IdEncoder(vocabulary, shown=False)
+    assert [ids for k in range(0, len(texts), 50) for ids in small.ids_batch(texts[k : k + 50])] == want
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(wordhash, "mix", lambda x: x % np.uint64(7))
+    words = wordhash.Words([b"one two three four", b"two five six seven eight nine one"])
+    hashes, first, _, kinds = words.distinct()
+    assert len(hashes) == 9 and [words.words(first)[k] for k in kinds] == words.words(np.arange(len(words)))
+
+
 def test_transducer_numbers_every_word(vocabulary):
     r = random.Random(3)
     words = sorted({"".join(r.choice("abcdé") for _ in range(r.randrange(1, 9))) for _ in range(3000)})

@@ -17,8 +17,8 @@ from folioql.functions import search
 from folioql.functions import values as V
 from folioql.operators import relational
 from folioql.plans.planner import Engine
-from folioql.sources.catalog import Catalog
-from folioql.sources.container import MAP, ContainerMeta, create, point_read, point_read_batch, route, scan
+from folioql.sources.catalog import Catalog, LookupCache
+from folioql.sources.container import MAP, ContainerMeta, create, point_read, point_read_batch, read_meta, route, scan, statistics, write_meta
 from folioql.sources.dml import Container
 from folioql.streaming.changes import changes, counts_by_window
 
@@ -373,6 +373,43 @@ def container_sql_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(_stored(spark, sf_dir)).sql("SELECT id, CAST(_MAP['priority'] AS VARCHAR) AS priority FROM stored WHERE id = ? AND status = ?", str(key), "O")
 
 
+@query(_S + f" WHERE o_orderkey IN {_OPEN}")
+def container_cached_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of one partition through the lookup cache: the second read finds all of them there."""
+    c = _stored(spark, sf_dir)
+    c.cache = LookupCache()
+    keys = [str(r[0]) for r in spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'O'").orderBy("o_orderkey").limit(3).select("o_orderkey").collect()]
+    c.read_items(keys[:2], "O")
+    rows = c.read_items([*keys, "nothing"], "O")
+    return spark.createDataFrame([(r["id"], r["status"].toPython(), r[MAP].toPython()["price"]) for r in rows], "id string, status string, price double")
+
+
+@query("SELECT count(*) AS documents, count(DISTINCT o_orderstatus) AS keys, CAST(count(*) > 0 AS BOOLEAN) AS has_bytes FROM orders")
+def container_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declaration of a container read back, and its statistics."""
+    c = _stored(spark, sf_dir)
+    write_meta(spark, c.meta, c.path)
+    found = statistics(spark, read_meta(spark, c.path), c.path)
+    return spark.createDataFrame([(found["documents"], found["keys"], found["bytes"] > 0)], "documents long, keys long, has_bytes boolean")
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS id, CASE WHEN n_regionkey = 0 THEN 'none:' WHEN n_regionkey = 1 THEN 'null:' ELSE 'n:' || n_regionkey END AS key, CASE WHEN n_regionkey > 1 THEN n_name ELSE n_name || '!' END AS name FROM nation WHERE n_regionkey <> 4")
+def container_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose key is absent or null are partitions of their own: one is deleted, two are replaced, by SQL and by key."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = F.when(F.col("n_regionkey") == 1, F.parse_json(F.lit("null"))).when(F.col("n_regionkey") > 1, F.col("n_regionkey").cast("variant"))
+    entries = F.create_map(F.lit("id"), F.col("n_nationkey").cast("string").cast("variant"), F.lit("name"), F.col("n_name").cast("variant"), F.lit("region"), region)
+    meta, path = ContainerMeta("nations", ("/region",), buckets=4), _folder(spark)
+    create(nation.select(F.to_variant_object(F.map_filter(entries, lambda _, v: v.isNotNull())).alias("doc")), meta, path, now=0)
+    c = Container(spark, meta, path)
+    document = F.col(MAP)
+    fields = F.try_variant_get(document, "$", "map<string,variant>")
+    louder = F.to_variant_object(F.transform_values(fields, lambda k, v: F.when(k == "name", F.concat(V.text(v), F.lit("!")).cast("variant")).otherwise(v)))
+    c.replace_where(F.col("region").isNull(), louder)
+    _sql(c).sql("DELETE FROM nations WHERE region = 4")
+    return c.df().select("id", F.col("_pk0").alias("key"), V.text(V.path(document, "name")).alias("name"))
+
+
 @query(_S + " UNION ALL SELECT 'x' || o_orderkey, 'X', o_totalprice + 1 FROM orders WHERE o_orderstatus = 'P'")
 def dml_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _stored(spark, sf_dir)

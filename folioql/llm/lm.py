@@ -224,14 +224,12 @@ def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(ids), "<u2").astype(np.int32), np.cumsum(sizes) - sizes
 
 
-def _rows(p: dict, name: str, at: np.ndarray, grad: np.ndarray, turn: np.ndarray | None = None) -> None:
-    """Adagrad on the rows `at`, whose gradients are summed first (and then turned by a matrix)."""
+def _rows(p: dict, name: str, at: np.ndarray, grad: np.ndarray) -> None:
+    """Adagrad on the rows `at`, whose gradients are summed first."""
     order = np.argsort(at.astype(np.uint16), kind="stable")
     own = at.take(order)
     first = np.flatnonzero(np.diff(own, prepend=-1))
     own, total = own.take(first), np.add.reduceat(grad.take(order, 0), first, axis=0)
-    if turn is not None:
-        total = total @ turn
     squares = p[f"+{name}"].take(own, 0)
     squares += total * total
     p[f"+{name}"][own] = squares
@@ -253,7 +251,9 @@ def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, targ
         a, b, c = before.take(part), last.take(part), target.take(part)
         drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE) * cumulated[-1], side="right"), n - 1)
         samples.append(drawn)
-        ra, rb, qc, qd = r.take(a, 0), r.take(b, 0), q.take(c, 0), q.take(drawn, 0)
+        both = np.concatenate([a, b])
+        rows, qc, qd = r.take(both, 0), q.take(c, 0), q.take(drawn, 0)
+        ra, rb = rows[: len(a)], rows[len(a) :]
         context = ra @ m1.T
         context += rb @ m2.T
         # P(data) against NOISE noise samples a token; the normaliser is taken as 1
@@ -268,13 +268,14 @@ def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, targ
         g_context = push @ qd
         g_context += np.multiply(pull[:, None], qc, out=qc)
         at = np.concatenate([c, drawn])
-        g_m1, g_m2, old1, old2 = g_context.T @ ra, g_context.T @ rb, m1.copy(), m2.copy()
+        g_m1, g_m2 = g_context.T @ ra, g_context.T @ rb
+        np.matmul(g_context, m1, out=ra)
+        np.matmul(g_context, m2, out=rb)
         _rows(p, "q", at, np.concatenate([pull[:, None] * context, push.T @ context]))
         g_bias = np.bincount(at, np.concatenate([pull, push.sum(axis=0)]), n).astype(np.float32)
         p["+bias"] += g_bias**2
         bias += rate * g_bias / np.sqrt(p["+bias"])
-        _rows(p, "r", a, g_context, old1)
-        _rows(p, "r", b, g_context, old2)
+        _rows(p, "r", both, rows)
         for k, g in (("m1", g_m1), ("m2", g_m2)):
             p[f"+{k}"] += g**2
             p[k] += rate * g / np.sqrt(p[f"+{k}"])

@@ -99,6 +99,19 @@ def find_nodes(x, kind: str) -> list[tuple]:
     return [n for part in children(x) for n in find_nodes(part, kind)]
 
 
+def single(q: dict) -> dict | None:
+    """The select of a query that is nothing but a filtered list of rows or one aggregate of them."""
+    body = q["body"] if q["kind"] == "query" and not q["ctes"] and not q["offset"] and q["fetch"] is None else q
+    plain = body["kind"] == "select" and body["from"] and not body["group"] and not body["having"] and body["top"] is None
+    return body if plain else None
+
+
+def turned(c: Column, kind: str) -> Column:
+    """A document value as a value of a type; null if it is none."""
+    c = (V.num if is_number(kind) else V.boolean if kind == "boolean" else V.text)(c)
+    return c.try_cast(kind) if kind in ("date", "timestamp") else c
+
+
 def is_aggregate(x: tuple) -> bool:
     return x[1] in AGGREGATES and "over" not in x[3]
 
@@ -285,9 +298,10 @@ class Planner:
         order = [(self.order_target(x, items, Scope.of(df)), d, n, r) for x, d, n, r in order]
         wanted = [x for x, _ in items] + [x for x, *_ in order] + ([q["having"]] if q["having"] else [])
         aggregates = [c for x in wanted for c in find_calls(x, is_aggregate)]
-        scope = Scope.of(df)
+        df, looked = self.looked_up(df, [n for x in (*wanted, *(q["group"][1] if q["group"] else ())) for n in find_nodes(x, "scalar")])
+        scope = Scope.of(df, looked)
         if q["group"] or aggregates or q["having"]:
-            df, scope = self.aggregated(df, q["group"] or ("groupBy", [], None), aggregates)
+            df, scope = self.aggregated(df, q["group"] or ("groupBy", [], None), aggregates, looked)
             if q["having"]:
                 df = df.where(self.condition(q["having"], scope))
         df, scope, ranked = self.scored(df, scope, order, fetch)
@@ -374,6 +388,8 @@ class Planner:
                 for node in find_nodes(x, "inquery"):
                     df, mark = self.marked(df, node, len(marks))
                     marks.append((node, mark))
+                df, looked = self.looked_up(df, find_nodes(x, "scalar"), len(marks))
+                marks += looked
                 plain.append(x)
         if plain:
             scope = Scope.of(df, marks)
@@ -381,25 +397,84 @@ class Planner:
             for x in plain[1:]:
                 test = test & self.truth(x, scope)
             df = df.where(test)
-        return df.drop(*(f"_in{k}" for k in range(len(marks))))
+        return df.drop(*(f"{kind}{k}" for kind in ("_in", "_sq") for k in range(len(marks))))
 
-    def correlated(self, q: dict, outer: DataFrame) -> tuple[DataFrame, Column | None, dict]:
-        """The rows of a plain query by what reads its own tables only, the rest of its WHERE as a join condition, and its select."""
-        body = q["body"] if q["kind"] == "query" and not q["ctes"] and not q["offset"] and q["fetch"] is None else q
-        if body["kind"] != "select" or not body["from"] or body["group"] or body["having"] or body["top"] is not None or find_calls(("", *(x for x, _ in body["items"])), is_aggregate):
-            return self.query(q), None, {}
+    def apart(self, body: dict, outer: DataFrame) -> tuple[Planner, DataFrame, list]:
+        """The rows of a select by the conditions that read its own tables only, and its conditions that read others too."""
         rows = Planner(self.engine, self.params, dict(self.ctes))
         inner = rows.table(body["from"])
-        own, both = Scope.of(inner), Scope.of(outer)
+        own = Scope.of(inner)
         own_parts, outer_parts = [], []
         for x in conjuncts(body["where"]):
             (own_parts if all(own.find(n[1]) for n in find_nodes(x, "col")) else outer_parts).append(x)
-        if not outer_parts:
-            return self.query(q), None, {}
-        if clash := {c.lower() for c in inner.columns} & {c.lower() for c in outer.columns}:
+        if outer_parts and (clash := {c.lower() for c in inner.columns} & {c.lower() for c in outer.columns}):
             raise SqlError(f"a correlated query needs aliases of its own: {sorted(clash)[0]}")
-        for x in own_parts:
+        for x in own_parts if outer_parts else ():
             inner = rows.filtered(inner, x)
+        return rows, inner, outer_parts
+
+    def looked_up(self, df: DataFrame, nodes: list[tuple], number: int = 0) -> tuple[DataFrame, list[tuple[tuple, Typed]]]:
+        """Correlated scalar queries as columns: each is aggregated once by the keys that tie it to a row, and joined on them.
+
+        Without an aggregate a query may give one row at most, as everywhere.
+        """
+        found: list[tuple[tuple, Typed]] = []
+        for node in nodes:
+            body = single(node[1])
+            if body is None or any(n == node for n, _ in found):
+                continue
+            rows, inner, ties = self.apart(body, df)
+            if not ties:
+                continue
+            if len(body["items"]) != 1 or body["items"][0][0][0] == "star":
+                raise SqlError("a scalar query gives one column")
+            name, item, own, keys, on = f"_sq{number + len(found)}", body["items"][0][0], Scope.of(inner), [], F.lit(True)
+            for i, x in enumerate(ties):
+                sides = x[2:4] if x[:2] == ("compare", "=") else ()
+                reads = [[own.find(n[1]) is not None for n in find_nodes(y, "col")] for y in sides]
+                mine = [y for y, r in zip(sides, reads) if r and all(r)]
+                others = [y for y, r in zip(sides, reads) if not any(r)]
+                if len(mine) != 1 or len(others) != 1:
+                    raise SqlError("a correlated scalar query is tied to its row by equalities")
+                key, same = self.tied(rows.plan(mine[0], own), self.plan(others[0], Scope.of(df)), f"{name}k{i}")
+                keys.append(key.alias(f"{name}k{i}"))
+                on = on & same
+            calls = find_calls(item, is_aggregate)
+            if calls:
+                planned = [rows.aggregate(c, own) for c in calls]
+                looked = inner.groupBy(*keys).agg(*(c.alias(f"{name}a{i}") for i, (c, _) in enumerate(planned)))
+                empty = lambda call, c: F.coalesce(c, F.lit(0)) if call[1] in ("count", "approx_count_distinct") else c
+                replaced = [(call, (empty(call, F.col(f"{name}a{i}")), kind)) for i, (call, (_, kind)) in enumerate(zip(calls, planned))]
+            else:
+                c, kind = rows.plan(item, own)
+                looked = inner.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(c).alias("_v"))
+                one = F.assert_true(F.col("_n") <= 1, "a scalar query gives more than one row")
+                looked = looked.select(*(f"{name}k{i}" for i in range(len(keys))), F.when(one.isNull(), F.col("_v")).alias(f"{name}a0"))
+                replaced = [(item, (F.col(f"{name}a0"), kind))]
+            extra = looked.columns
+            df = df.join(relational.lookup_side(looked, "left"), on, "left")
+            value, kind = self.plan(item, Scope.of(df, replaced))
+            df = df.withColumn(name, value).drop(*extra)
+            found.append((node, (F.col(name), kind)))
+        return df, found
+
+    def tied(self, own: Typed, other: Typed, name: str) -> tuple[Column, Column]:
+        """What the rows of a lookup are grouped by, and the test whether the group in column `name` is that of another value."""
+        if own[1] == "any" and other[1] == "any":
+            return V.canon_key(own[0]), V.canon_key(other[0]) == F.col(name)
+        if own[1] == "any":
+            own = turned(own[0], other[1]), other[1]
+        return own[0], self.matches(other, (F.col(name), own[1]))
+
+    def correlated(self, q: dict, outer: DataFrame) -> tuple[DataFrame, Column | None, dict]:
+        """The rows of a plain query by what reads its own tables only, the rest of its WHERE as a join condition, and its select."""
+        body = single(q)
+        if body is None or find_calls(("", *(x for x, _ in body["items"])), is_aggregate):
+            return self.query(q), None, {}
+        _, inner, outer_parts = self.apart(body, outer)
+        if not outer_parts:
+            return self.query(q), None, {}
+        own, both = Scope.of(inner), Scope.of(outer)
         both.columns |= own.columns
         both.columns |= {("", n): v for (_, n), v in own.columns.items()}  # a bare name is the inner query's
         on = self.truth(outer_parts[0], both)
@@ -424,10 +499,11 @@ class Planner:
         _, value, q, negated = x
         inner, on, body = self.correlated(q, df)
         if on is not None:
-            if negated:
-                raise SqlError("NOT IN over a correlated query: use NOT EXISTS")
-            (item, _), both = body["items"][0], Scope.of(inner)
-            return df.join(inner, on & self.matches(self.plan(value, Scope.of(df)), self.plan(item, both)), "left_semi")
+            typed, listed = self.plan(value, Scope.of(df)), self.plan(body["items"][0][0], Scope.of(inner))
+            same = self.matches(typed, listed)
+            if negated:  # a null on either side leaves it unknown, unless there is nothing to be among
+                same = same | self.key(typed).isNull() | self.key(listed).isNull()
+            return df.join(inner, on & same, "left_anti" if negated else "left_semi")
         inner, kind = self.one_column(q)
         typed, listed = self.plan(value, Scope.of(df)), (col("_in.v"), kind)
         if not negated:
@@ -455,9 +531,9 @@ class Planner:
 
     # -- aggregation
 
-    def aggregated(self, df: DataFrame, group: tuple, calls: list[tuple]) -> tuple[DataFrame, Scope]:
+    def aggregated(self, df: DataFrame, group: tuple, calls: list[tuple], looked=()) -> tuple[DataFrame, Scope]:
         how, keys, sets = group
-        scope = Scope.of(df)
+        scope = Scope.of(df, looked)
         planned = [self.plan(k, scope) for k in keys]
         names = [f"k{i}" for i in range(len(keys))]
         documents = [n for n, (_, kind) in zip(names, planned) if kind == "any"]
@@ -717,10 +793,7 @@ class Planner:
             return F.when(same, getattr(x, f)(y))
         if a[1] == "any" or b[1] == "any":
             kind = b[1] if a[1] == "any" else a[1]
-            turn = V.num if is_number(kind) else V.boolean if kind == "boolean" else V.text
-            x, y = (turn(c) if k == "any" else c for c, k in (a, b))
-            if kind in ("date", "timestamp"):
-                x, y = (c.try_cast(kind) if k == "any" else c for c, (_, k) in ((x, a), (y, b)))
+            x, y = (turned(c, kind) if k == "any" else c for c, k in (a, b))
             return getattr(x, f)(y)
         return getattr(a[0], f)(b[0])
 

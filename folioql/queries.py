@@ -141,6 +141,8 @@ for _name, _where, _plain in (
     ("in_subquery_or", "_MAP['price'] > 200000 OR _MAP['custkey'] IN (SELECT c_custkey FROM customer WHERE c_acctbal > 8000)", "price > 200000 OR cust IN (SELECT c_custkey FROM customer WHERE c_acctbal > 8000)"),
     ("exists_correlated", "EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = _MAP['custkey'] AND c.c_acctbal > 5000)", "EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = cust AND c.c_acctbal > 5000)"),
     ("not_exists_correlated", "NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = _MAP['custkey'] AND c.c_acctbal > 5000)", "NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = cust AND c.c_acctbal > 5000)"),
+    ("not_in_correlated", "_MAP['status'] NOT IN (SELECT b.o_orderstatus FROM orders AS b WHERE b.o_custkey = _MAP['custkey'] AND b.o_totalprice > 150000)", "status NOT IN (SELECT b.o_orderstatus FROM orders AS b WHERE b.o_custkey = cust AND b.o_totalprice > 150000)"),
+    ("scalar_correlated", "_MAP['price'] < (SELECT MAX(b.o_totalprice) / 2 FROM orders AS b WHERE b.o_custkey = _MAP['custkey'])", "price < (SELECT max(b.o_totalprice) / 2 FROM orders AS b WHERE b.o_custkey = cust)"),
     ("nullif_filter", "NULLIF(_MAP['status'], 'F') IS NULL", "NULLIF(status, 'F') IS NULL"),
 ):
     statement(_name, f"SELECT id FROM orders_c WHERE {_where}", O + f"SELECT id FROM o WHERE {_plain}")
@@ -221,6 +223,9 @@ statement("except", "SELECT CAST(v AS BIGINT) AS v FROM (SELECT _MAP['custkey']
 statement("intersect_all", "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier", "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier")
 statement("except_all_documents", "SELECT CAST(v AS VARCHAR) AS v FROM (SELECT _MAP['priority'] AS v FROM orders_c EXCEPT ALL SELECT _MAP['priority'] FROM orders_c WHERE _MAP['status'] = 'F') AS t", O + "SELECT priority AS v FROM o EXCEPT ALL SELECT priority FROM o WHERE status = 'F'")
 statement("scalar_subquery", "SELECT id FROM orders_c WHERE _MAP['price'] > (SELECT AVG(o_totalprice) FROM orders)", O + "SELECT id FROM o WHERE price > (SELECT avg(o_totalprice) FROM orders)")
+statement("scalar_correlated_count", "SELECT c.c_custkey, (SELECT COUNT(*) FROM orders_c AS o WHERE o._MAP['custkey'] = c.c_custkey AND o._MAP['status'] = 'F') AS n FROM customer AS c", O + "SELECT c.c_custkey, (SELECT count(*) FROM o WHERE o.cust = c.c_custkey AND o.status = 'F') AS n FROM customer AS c")
+statement("scalar_correlated_value", "SELECT o.id, (SELECT c.c_name FROM customer AS c WHERE c.c_custkey = o._MAP['custkey']) AS name FROM orders_c AS o", O + "SELECT o.id, (SELECT c.c_name FROM customer AS c WHERE c.c_custkey = o.cust) AS name FROM o")
+statement("scalar_correlated_groups", "SELECT t.mine, SUM(t.n) AS n, COUNT(*) AS m FROM (SELECT (SELECT COUNT(*) FROM orders AS b WHERE b.o_custkey = c.c_custkey) AS n, c.c_nationkey AS mine FROM customer AS c) AS t GROUP BY t.mine", "SELECT c.c_nationkey AS mine, CAST(count(o_orderkey) AS BIGINT) AS n, count(DISTINCT c_custkey) AS m FROM customer AS c LEFT JOIN orders ON o_custkey = c.c_custkey GROUP BY c.c_nationkey")
 statement("cte", "WITH f AS (SELECT id, _MAP['custkey'] AS c FROM orders_c WHERE _MAP['status'] = 'F') SELECT COUNT(*) AS n, COUNT(DISTINCT c) AS d FROM f", O + "SELECT count(*) AS n, count(DISTINCT cust) AS d FROM o WHERE status = 'F'")
 
 

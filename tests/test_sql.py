@@ -87,6 +87,10 @@ SHIPMENT_IDS = {
     "EXISTS (SELECT 1 FROM readings AS r WHERE r._MAP['value'] = s._MAP['tons'])": "g",
     "NOT EXISTS (SELECT 1 FROM readings AS r WHERE r._MAP['value'] < s._MAP['tons'] AND r.site = 'y')": "deh",
     "s.port IN (SELECT q.port FROM shipments AS q WHERE q._MAP['tons'] > s._MAP['tons'])": "a",
+    "s.port NOT IN (SELECT q.port FROM shipments AS q WHERE q._MAP['tons'] > s._MAP['tons'])": "bcdeh",
+    "(SELECT COUNT(*) FROM readings AS r WHERE r._MAP['value'] = s._MAP['tons']) = 0": "abcdefh",
+    "s._MAP['tons'] = (SELECT MAX(q._MAP['tons']) FROM shipments AS q WHERE q.port = s.port)": "bch",
+    "s.port = 'oslo' OR (SELECT r._MAP['kind'] FROM readings AS r WHERE r._MAP['value'] = s._MAP['tons']) = 'Plain'": "abg",
 }
 READING_IDS = {
     "CAST(c._MAP['value'] AS INTEGER) = 12": "mno",

@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon (operator 7).
 
-Frequent words are counted over all texts, compiled on the driver into a shared-suffix automaton
+The words of the most frequent chunks, counted over all texts, are compiled on the driver into a shared-suffix automaton
 whose path sums number its words (a perfect hash), and the numbers point to id sequences.  The
 automaton is one flat byte string of bounded size (`lexicon_words`); executors get it as a
 broadcast and memory-map a private, already unlinked copy.  Words that it does not hold are merged
@@ -28,7 +28,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, compress, islice
+from itertools import batched, chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +42,10 @@ from folioql.llm.wordhash import Index, Words, grouped
 MEMO_ENTRIES, MEMO_CHARS = 1_000_000, 64
 #: Words of at most so many bytes are merged side by side in numpy.
 LOCKSTEP = 32
-#: A task reports a word to the lexicon count once it has seen it this often.
-REPORT_FROM = 8
+#: The lexicon is made of at most so many chunks, of at most MEMO_CHARS characters; the words of others are merged.
 LEXICON_WORDS = 65_536
+#: Distinct chunks a task counts before it hands them on.
+COUNTED = 3_000_000
 #: Rank of a pair that does not merge.
 UNMERGED = 1 << 30
 #: ASCII signs that are one pre-token when they follow a word; an apostrophe may begin one of its own.
@@ -454,37 +455,34 @@ def encoder(path: str, lexicon=None, version: str = "", shown: bool = True) -> E
 
 
 def frequent_words(docs: DataFrame, text: str, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:
-    """About the most frequent pre-tokens of all texts.
+    """The pre-tokens of about the `limit` most frequent chunks of all texts.
 
-    Counts are lower bounds that depend on the partitions: a task reports only chunks that it saw
-    REPORT_FROM times and that have at most MEMO_CHARS characters.  Encodings do not depend on them,
-    for words outside the lexicon are merged exactly.
+    Every chunk of at most MEMO_CHARS characters is counted, added up in each task before the shuffle,
+    so the counts are exact and do not depend on the partitions.  A chunk that occurs once is not
+    worth an entry.
     """
 
     def count(batches):
         seen: Counter = Counter()
-        bpe = WordBpe(vocabulary)
 
         def report():
-            words: Counter = Counter()
-            for chunk, n in seen.items():
-                if n >= REPORT_FROM and len(chunk) <= MEMO_CHARS:
-                    for w in bpe.split(chunk):
-                        if isinstance(w, str):
-                            words[w] += n
+            for part in batched(((c, n) for c, n in seen.items() if len(c) <= MEMO_CHARS), 100_000):
+                chunks, counts = zip(*part)
+                yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.string()), pa.array(counts, pa.int64())], names=["chunk", "n"])
             seen.clear()
-            return pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
 
         for batch in batches:
             for t in batches_of(batch, text)[0]:
                 if t:
                     seen.update(chunks_of(t))
-                if len(seen) > 3 * MEMO_ENTRIES:
-                    yield report()
-        yield report()
+                if len(seen) > COUNTED:
+                    yield from report()
+        yield from report()
 
-    counted = cut(docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    return most_frequent(counted, "n", limit).toArrow()["word"].to_pylist()
+    counted = docs.select(text).mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    chunks = most_frequent(cut(counted.where("n > 1")), "n", limit).toArrow()["chunk"].to_pylist()
+    bpe = WordBpe(vocabulary)
+    return sorted({w for c in chunks for w in bpe.split(c) if isinstance(w, str)})
 
 
 def compile_lexicon(words: Iterable[str], vocabulary: str) -> bytes:

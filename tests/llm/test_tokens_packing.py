@@ -57,6 +57,17 @@ def test_transducer_numbers_every_word(vocabulary):
     assert tokens.Transducer(tokens.build_transducer({})).find([b"a"])[0] == -1
 
 
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_lexicon_counts_every_chunk(spark, vocabulary, monkeypatch, partitions):
+    monkeypatch.setattr(tokens, "COUNTED", 10)  # a task hands its counts on again and again
+    texts = [f"common and w{k % 50}x rare{k}q" for k in range(200)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(partitions)
+    split = tokens.WordBpe(vocabulary).split
+    words = lambda chunks: sorted({w for c in chunks for w in split(c)})
+    assert tokens.frequent_words(docs, "text", vocabulary, 100) == words(["common", "and", *(f"w{k}x" for k in range(50))])
+    assert tokens.frequent_words(docs, "text", vocabulary, 40) == words(["common", "and"])
+
+
 def test_full_memo_changes_nothing(vocabulary, monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_ENTRIES", 20)
     texts = [f"word{k} and {k % 7} more" for k in range(300)]

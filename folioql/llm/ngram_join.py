@@ -12,7 +12,8 @@ share.  So:
 4. postings meet on the shingle.  Length, positional and suffix bounds (the shared shingles behind
    the meeting point, and a parity sketch that bounds the symmetric difference from below) drop
    pairs before their sets are compared.  First each document is compared with the most central one
-   it meets; then only pairs that are still in different components, in blocks of bounded size;
+   it meets; then only pairs that are still in different components, in blocks of bounded size, of
+   which only those of like set sizes meet;
 5. links make components.
 
 Every pair is verified on whole sets, once; links inside a component that is already known change
@@ -33,12 +34,13 @@ An empty table gives no rows.  Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -53,6 +55,8 @@ FIRST_SHARE = 0.4
 BROADCAST_ROWS = 1_000_000
 BLOCK = 512
 SKETCH_BITS = 1024
+#: Bytes of text whose words are hashed together.
+TOGETHER = 1 << 20
 #: A batch of sets closes at so many documents or elements.
 BATCH_SETS, BATCH_ELEMENTS = 4096, 1_000_000
 #: A bucket has about so many elements at most.
@@ -61,7 +65,7 @@ BUCKET_ELEMENTS = 16_000_000
 
 def shingle_sets(texts: list[str | None], n: int = N):
     """For each text the sorted distinct shingle hashes and a digest of the word sequence (None without words)."""
-    for words in grouped([t.encode("utf-8").lower() if t else b"" for t in texts]):
+    for words in grouped([t.encode("utf-8").lower() if t else b"" for t in texts], TOGETHER):
         yield from _sets(words.hashes, words.bounds, n)
 
 
@@ -346,6 +350,35 @@ def _survivors(percent: int):
     return run
 
 
+def dealt_in_blocks(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings of shingles (h, held by c) in pairs of blocks (a, b) that may hold a linked pair; side 2 is both.
+
+    Sizes of linked sets differ by a factor of 100 / percent at most.  So the postings of a frequent
+    shingle are dealt by classes of size, of which only the same and neighbours meet, and these into
+    blocks of about BLOCK.
+    """
+    step = math.log(100 / percent * 1.001)  # a little more than the factor, against rounding
+    postings = postings.withColumn("class", F.when(F.col("c") > BLOCK, F.floor(F.log("n") / F.lit(step))).otherwise(0).cast("int"))
+    sizes = postings.where(F.col("c") > BLOCK).groupBy("h", "class").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    sizes = sizes.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("blocks"))
+    lone = lambda k: F.when((F.col("c") <= BLOCK) & (k == 0), 1).otherwise(0)  # noqa: E731  a rare shingle is one block
+    found = lambda k: F.coalesce(F.try_element_at("blocks", k), lone(k))
+    block = lambda k, at: k.cast("long") * F.lit(1 << 32) + at
+
+    def pairs(k: Column, make) -> Column:
+        return F.when(found(k) > 0, F.transform(F.sequence(F.lit(0), F.greatest(found(k), F.lit(1)) - 1), make)).otherwise(F.array().cast("array<struct<a: bigint, b: bigint, side: int>>"))
+
+    pair = lambda a, b, side: F.struct(a.alias("a"), b.alias("b"), side.cast("int").alias("side"))
+    k = F.col("class")
+    dealt = postings.join(sizes, "h", "left").withColumn("own", F.pmod(F.xxhash64("id"), found(k)).cast("int"))
+    own = F.col("own")
+    same = pairs(k, lambda o: pair(block(k, F.least(own, o)), block(k, F.greatest(own, o)), F.when(own == o, 2).when(own < o, 0).otherwise(1)))
+    above = pairs(k + 1, lambda o: pair(block(k, own), block(k + 1, o), F.lit(0)))
+    below = pairs(k - 1, lambda o: pair(block(k - 1, o), block(k, own), F.lit(1)))
+    dealt = dealt.select("h", "id", "n", "shared", "place", "component", F.explode(F.concat(same, above, below)).alias("p"))
+    return dealt.select("h", "p.a", "p.b", "p.side", "id", "n", "shared", "place", "component")
+
+
 def links(members: DataFrame, percent: int) -> DataFrame:
     """Links (x, y) that span every component of the sets in `members`."""
     postings = members.select("id", "n", "shared", F.explode(F.arrays_zip("shingles", "places")).alias("p")).select("id", "n", "shared", F.col("p.shingles").alias("h"), F.col("p.places").alias("place"))
@@ -363,12 +396,7 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     labelled = postings.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = cut(labelled)
     mixed = labelled.groupBy("h").agg(F.count("*").alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    blocks = F.ceil(F.col("c") / F.lit(BLOCK)).cast("int")
-    dealt = labelled.join(mixed.select("h", blocks.alias("blocks")), "h").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    a, b = F.least("own", "other"), F.greatest("own", "other")
-    side = F.when(a == b, 2).when(F.col("own") == a, 0).otherwise(1)  # 2: both sides
-    dealt = dealt.select("h", a.alias("a"), b.alias("b"), side.alias("side"), "id", "n", "shared", "place", "component").join(members.select("id", "sketch"), "id")
+    dealt = dealt_in_blocks(labelled.join(mixed.select("h", "c"), "h"), percent).join(members.select("id", "sketch"), "id")
     dealt = dealt.repartition("h", "a", "b").sortWithinPartitions("h", "a", "b")
     met_again = dealt.mapInArrow(_survivors(percent), "x long, y long").distinct()
     two = verified(met_again.join(first, ["x", "y"], "left_anti"), sets, percent)

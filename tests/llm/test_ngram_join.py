@@ -75,6 +75,21 @@ def test_stage_keeps_one_of_each_component(messy, rows):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, (r[0] for r in rows if r[0] is None or want[r[0]][1] == r[0])))
 
 
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_blocks_hold_every_pair_of_like_sizes_once(spark, monkeypatch, percent):
+    monkeypatch.setattr(nj, "BLOCK", 8)
+    sizes = [1 + k * k // 9 for k in range(90)] + [4, 5] * 10
+    rows = [(h, i, n, n, 0, i, len(sizes)) for h in (1, 2) for i, n in enumerate(sizes)] + [(3, 7, 10, 10, 0, 7, 2), (3, 8, 90, 90, 0, 8, 2)]
+    postings = spark.createDataFrame(rows, "h long, id long, n long, shared long, place long, component long, c long")
+    blocks = {}
+    for r in nj.dealt_in_blocks(postings, percent).collect():
+        blocks.setdefault((r.h, r.a, r.b), []).append((r.id, r.side))
+    met = [(h, min(i, j), max(i, j)) for (h, *_), own in blocks.items() for x, (i, s) in enumerate(own) for j, t in own[:x] if s == 2 or s != t]
+    like = {(h, i, j) for h in (1, 2) for j in range(len(sizes)) for i in range(j) if 100 * min(sizes[i], sizes[j]) >= percent * max(sizes[i], sizes[j])}
+    assert len(met) == len(set(met)) and like | {(3, 7, 8)} <= set(met)
+    assert max(map(len, blocks.values())) < 60 and (percent == 50 or len(met) < len(sizes) ** 2 / 2)
+
+
 def test_long_path_is_one_component(spark):
     edges = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     got = connected_components(edges.union(spark.createDataFrame([(1000, 1001)], "u long, v long"))).collect()

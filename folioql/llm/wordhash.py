@@ -61,7 +61,11 @@ class Words:
         self.starts, self.ends = edges[::2], edges[1::2]
         self.lengths = self.ends - self.starts
         up, down = _POWERS.of(len(data) + 1)
-        total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1])])
+        total = np.zeros(len(data) + 1, np.uint64)
+        sums = total[1:]  # in place: a long text is held few times over
+        np.add(data, np.uint64(1), out=sums)
+        sums *= up[:-1]
+        np.cumsum(sums, out=sums)
         self.hashes = mix((total[self.ends] - total[self.starts]) * down[self.starts] + self.lengths.astype(np.uint64))
         for k in np.flatnonzero(self.lengths > LONG_WORD):
             self.hashes[k] = long_hash(self.word(k))

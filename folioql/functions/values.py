@@ -49,9 +49,14 @@ def _kind(value: Column) -> Column:
     return F.substring(F.schema_of_variant(value), 1, 3)
 
 
+def once(value: Column, body) -> Column:
+    """`body` of a value that it repeats (a lambda's argument is computed once, a repeated expression is not)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def by_kind(value: Column, body) -> Column:
-    """`body` of the value's kind, which is found once (a lambda's argument is computed once, a repeated expression is not)."""
-    return F.get(F.transform(F.array(_kind(value)), body), F.lit(0))
+    """`body` of the value's kind, which is found once."""
+    return once(_kind(value), body)
 
 
 def type_of(value: Column) -> Column:
@@ -128,12 +133,16 @@ def canon_key(value: Column) -> Column:
 
     Numbers inside arrays and objects are compared as they are printed.
     """
-    printed = F.try_variant_get(value, "$", "string")
-    number = F.concat(F.lit("n:"), number_text(F.try_variant_get(value, "$", "double")))
-    return by_kind(
-        value,
-        lambda k: F.when(k.isNull() | (k == "VOI"), None).when(k.isin(*NUMBER_KINDS), number).when(k == "BOO", F.concat(F.lit("b:"), printed)).when(k.isin("ARR", "OBJ"), F.concat(F.lit("j:"), F.to_json(value))).otherwise(F.concat(F.lit("s:"), printed)),
-    )
+
+    def key(v: Column) -> Column:
+        printed = F.try_variant_get(v, "$", "string")
+        number = F.concat(F.lit("n:"), once(F.try_variant_get(v, "$", "double"), number_text))
+        return by_kind(
+            v,
+            lambda k: F.when(k.isNull() | (k == "VOI"), None).when(k.isin(*NUMBER_KINDS), number).when(k == "BOO", F.concat(F.lit("b:"), printed)).when(k.isin("ARR", "OBJ"), F.concat(F.lit("j:"), F.to_json(v))).otherwise(F.concat(F.lit("s:"), printed)),
+        )
+
+    return once(value, key)
 
 
 def plain_key(value: Column, kind: str) -> Column:

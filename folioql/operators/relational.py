@@ -65,13 +65,14 @@ def group(df: DataFrame, keys: Mapping[str, Column], aggregates: Sequence[Column
     return out.select(*columns, *rest)
 
 
-def group_by_partials(df: DataFrame, keys: Mapping[str, Column], partials: Sequence[Column], merged: Sequence[Column], how: str, sets: Sequence[Sequence[str]] | None = None, document_keys: Sequence[str] = ()) -> DataFrame:
+def group_by_partials(df: DataFrame, keys: Mapping[str, Column], partials: Sequence[Column], merged: Sequence[Column], how: str, sets: Sequence[Sequence[str]] | None = None, document_keys: Sequence[str] = (), distinct: Sequence[str] = ()) -> DataFrame:
     """`group` in two steps: the finest groups first, then the grouping sets over these few rows.
 
     Grouping sets expand every input row once per set before they aggregate; so they had better not
-    be rows of the table.  `merged` reads the columns that `partials` make.
+    be rows of the table.  `merged` reads the columns that `partials` make, and those of `distinct`,
+    by whose values the finest groups are also split.
     """
-    finest = group(df, keys, partials, "groupBy", None, document_keys)
+    finest = group(df, {**keys, **{n: F.col(n) for n in distinct}}, partials, "groupBy", None, document_keys)
     return group(finest, {n: F.col(n) for n in keys}, merged, how, sets, document_keys)
 
 

@@ -541,10 +541,21 @@ class Planner:
         for c in calls:
             if c not in order:
                 order.append(c)
+        distinct, read = {}, []  # the column and kind of each such call; what the columns read, and their expressions
+        for i, c in enumerate(order):
+            if found := self.distinct_argument(c, scope):
+                form = c[2], c[3].get("filter"), found[1]
+                if form not in [x for x, _ in read]:
+                    read.append((form, found[0].alias(f"_d{len(read)}")))
+                distinct[i] = f"_d{[x for x, _ in read].index(form)}", found[1]
+        if read:  # computed once, behind a generator: aggregates that sort would compute them again in every comparison
+            df = df.select("*", F.inline(F.array(F.struct(*(c for _, c in read)))))
         aggregates, kinds = [], []
         for i, c in enumerate(order):
             if c[1] == "grouping":
                 column, kind = F.grouping(f"_k_k{keys.index(c[2][0])}").cast("int"), "int"
+            elif i in distinct:
+                column, kind = self.of_distinct(c[1], F.col(distinct[i][0]), distinct[i][1])
             else:
                 column, kind = self.aggregate(c, scope)
             aggregates.append(column.alias(f"a{i}"))
@@ -555,11 +566,11 @@ class Planner:
             out = df.agg(*aggregates) if aggregates else df.agg(F.count("*").alias("_n")).drop("_n")
         else:
             keyed = {n: V.norm(c) if kind == "any" else c for n, (c, kind) in zip(names, planned)}
-            parts = [self.partial(c, scope, f"a{i}") for i, c in enumerate(order)] if how != "groupBy" else [None]
+            parts = [([], aggregates[i]) if i in distinct else self.partial(c, scope, f"a{i}") for i, c in enumerate(order)] if how != "groupBy" else [None]
             if all(p is not None for p in parts):
                 merged = [aggregates[i] if c[1] == "grouping" else p[1].alias(f"a{i}") for i, (c, p) in enumerate(zip(order, parts))]
                 steps = [x for p in parts for x in p[0]] or [F.count("*").alias("_n")]
-                out = relational.group_by_partials(df, keyed, steps, merged or [F.count("*").alias("_n")], how, chosen, documents)
+                out = relational.group_by_partials(df, keyed, steps, merged or [F.count("*").alias("_n")], how, chosen, documents, [f"_d{i}" for i in range(len(read))])
             else:
                 out = relational.group(df, keyed, aggregates or [F.count("*").alias("_n")], how, chosen, documents)
         replaced = [(k, (col(n), kind)) for k, n, (_, kind) in zip(keys, names, planned)]
@@ -616,8 +627,34 @@ class Planner:
 
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(s.isNotNull(), row)), compare), lambda p: p["s"]), sep)
 
+    def distinct_argument(self, call: tuple, scope: Scope) -> Typed | None:
+        """What COUNT, SUM and AVG of DISTINCT values read; None for all else."""
+        _, name, args, extra = call
+        if not extra.get("distinct") or name not in ("count", "sum", "avg") or args[0][0] == "star":
+            return None
+        c, kind = self.plan(args[0], scope)
+        if kind == "any":
+            c, kind = (V.canon_key(c), "string") if name == "count" else (V.num(c), "double")
+        return (F.when(self.condition(extra["filter"], scope), c) if "filter" in extra else c), kind
+
+    def of_distinct(self, name: str, c: Column, kind: str) -> Typed:
+        n = F.count_distinct(c)
+        if name == "count":
+            return n, "bigint"
+        total = F.sum_distinct(c)
+        if name == "sum":
+            return total, "bigint" if kind in WHOLE else kind
+        return self.whole_mean(total, n, kind) if kind in WHOLE else (total / n, "double")
+
+    def whole_mean(self, total: Column, n: Column, kind: str) -> Typed:
+        """Whole numbers have a whole average, toward zero."""
+        mean = F.when(n > 0, total.cast("decimal(38,0)") / n)
+        return F.when(mean >= 0, F.floor(mean)).otherwise(F.ceil(mean)).cast(kind), kind
+
     def aggregate(self, call: tuple, scope: Scope) -> Typed:
         _, name, args, extra = call
+        if distinct := self.distinct_argument(call, scope):
+            return self.of_distinct(name, *distinct)
         keep = self.condition(extra["filter"], scope) if "filter" in extra else None
         only = (lambda c: F.when(keep, c)) if keep is not None else (lambda c: c)
         if name == "count" and args[0][0] == "star":
@@ -626,8 +663,8 @@ class Planner:
             return self.percentile(name, args, extra, scope, only)
         c, kind = self.plan(args[0], scope)
         if name in ("count", "approx_count_distinct"):
-            key = only(V.canon_key(c) if kind == "any" and (extra.get("distinct") or name != "count") else V.norm(c) if kind == "any" else c)
-            return (F.approx_count_distinct(key) if name != "count" else F.count_distinct(key) if extra.get("distinct") else F.count(key)), "bigint"
+            key = only(V.canon_key(c) if kind == "any" and name != "count" else V.norm(c) if kind == "any" else c)
+            return (F.approx_count_distinct(key) if name != "count" else F.count(key)), "bigint"
         if name in ("any_value", "array_agg", "collect"):
             c = only(V.norm(c) if kind == "any" else c)
             return (F.any_value(c, True), kind) if name == "any_value" else (F.collect_list(c), "anyarray" if kind == "any" else f"array<{kind}>")
@@ -645,14 +682,9 @@ class Planner:
         if kind == "any":  # numbers count; other values, null and absent are skipped
             c, kind = V.num(c), "double"
         c = only(c)
-        if name == "avg" and kind in WHOLE:  # whole numbers have a whole average, toward zero
-            total = F.sum_distinct(c) if extra.get("distinct") else F.sum(c)
-            n = F.count_distinct(c) if extra.get("distinct") else F.count(c)
-            mean = F.when(n > 0, total.cast("decimal(38,0)") / n)
-            return F.when(mean >= 0, F.floor(mean)).otherwise(F.ceil(mean)).cast(kind), kind
+        if name == "avg" and kind in WHOLE:
+            return self.whole_mean(F.sum(c), F.count(c), kind)
         result = {"sum": "bigint" if kind in WHOLE else kind, "min": kind, "max": kind}.get(name, "double")
-        if extra.get("distinct") and name in ("sum", "avg"):
-            return (F.sum_distinct(c) if name == "sum" else F.sum_distinct(c) / F.count_distinct(c)), result
         f = {"stddev": F.stddev_samp, "variance": F.var_samp}.get(name) or getattr(F, name)
         return f(c), result
 

@@ -136,6 +136,31 @@ def test_grouping_sets_by_partials(engine):
     assert rows(engine, "SELECT AVG(x), COUNT(*) FROM (VALUES (1), (2), (4)) AS t(x) GROUP BY ROLLUP(x) HAVING COUNT(*) = 3") == [(2, 3)]
 
 
+def test_distinct_aggregates_by_partials(engine):
+    got = rows(engine, "SELECT port, COUNT(DISTINCT _MAP['tons']) AS n, SUM(DISTINCT _MAP['tons']) AS s, COUNT(*) AS m, GROUPING(port) AS g FROM shipments GROUP BY CUBE(port)")
+    assert sorted(got, key=str) == sorted([("oslo", 2, 465.0, 2, 0), ("riga", 1, 90.0, 3, 0), (7, 1, None, 1, 0), (None, 2, 16.0, 2, 0), (None, 6, 571.0, 8, 1)], key=str)
+    table = "(VALUES ('a', 1, 'p'), ('a', 1, 'q'), ('b', 1, 'p'), ('b', 4, 'p'), ('b', 4, 'q')) AS t(k, x, y)"
+    calls = "COUNT(DISTINCT x), SUM(DISTINCT x), AVG(DISTINCT x), SUM(x), COUNT(*), COUNT(DISTINCT y) FILTER (WHERE x > 1)"
+    groups = [("a", 1, 1, 1, 2, 2, 0), ("b", 2, 5, 2, 9, 3, 2)]
+    assert sorted(rows(engine, f"SELECT k, {calls} FROM {table} GROUP BY ROLLUP(k)"), key=str) == sorted([*groups, (None, 2, 5, 2, 11, 5, 2)], key=str)
+    assert sorted(rows(engine, f"SELECT k, {calls} FROM {table} GROUP BY k")) == groups
+    assert rows(engine, f"SELECT {calls} FROM {table}") == [(2, 5, 2, 11, 5, 2)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT port, COUNT(DISTINCT _MAP['tons']) FROM shipments GROUP BY ROLLUP(port)",
+        "SELECT port, SUM(DISTINCT _MAP['tons']), AVG(DISTINCT _MAP['tons']) FROM shipments GROUP BY port",
+        "SELECT COUNT(DISTINCT _MAP['tons']), MAX(id) FROM shipments",
+    ],
+)
+def test_distinct_values_are_not_read_in_comparisons(engine, text):
+    lines = engine.explain(text).splitlines()
+    sorts = ["\n".join(lines[i : i + 3]) for i, x in enumerate(lines) if x.endswith(") Sort")]
+    assert sorts and not any("variant_get" in x for x in sorts)
+
+
 def test_aggregates_of_mixed_values(engine):
     assert rows(engine, "SELECT MIN(_MAP['vessel']), MAX(_MAP['vessel']), MIN(_MAP['tons']), MAX(_MAP['tons']), MAX(_MAP['nothing']) FROM shipments") == [("Amber", "Stork", 4, "90", None)]
     assert rows(engine, "SELECT LISTAGG(id, '') WITHIN GROUP (ORDER BY _MAP['tons']) FROM shipments") == [("fgacbhde",)]

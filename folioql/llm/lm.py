@@ -175,13 +175,13 @@ class Model:
     bias: np.ndarray
     normal: np.ndarray  # classes x classes: log normaliser of a context
 
-    def log_probabilities(self, before: np.ndarray, last: np.ndarray, target: np.ndarray, block: int = 1 << 16) -> np.ndarray:
-        out = np.empty(len(target), np.float64)
+    def log_probabilities(self, before: np.ndarray, last: np.ndarray, target: np.ndarray, block: int = 1 << 12) -> np.ndarray:
+        out, normal, n = np.empty(len(target), np.float64), self.normal.ravel(), len(self.normal)
         for low in range(0, len(target), block):
             a, b, c = before[low : low + block], last[low : low + block], target[low : low + block]
             context = self.first.take(a, 0)
             context += self.second.take(b, 0)
-            out[low : low + block] = np.einsum("ij,ij->i", context, self.words.take(c, 0)) + self.bias[c] - self.normal[a, b]
+            out[low : low + block] = np.einsum("ij,ij->i", context, self.words.take(c, 0)) + self.bias[c] - normal.take(a.astype(np.intp) * n + b)
         return out
 
 
@@ -224,62 +224,102 @@ def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(ids), "<u2").astype(np.int32), np.cumsum(sizes) - sizes
 
 
-def _rows(p: dict, name: str, at: np.ndarray, grad: np.ndarray) -> None:
-    """Adagrad on the rows `at`, whose gradients are summed first."""
-    order = np.argsort(at.astype(np.uint16), kind="stable")
+def _sorted(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct classes of `at` (uint16), the order that sorts it, and where each class begins in that order."""
+    order = np.argsort(at, kind="stable")
     own = at.take(order)
-    first = np.flatnonzero(np.diff(own, prepend=-1))
-    own, total = own.take(first), np.add.reduceat(grad.take(order, 0), first, axis=0)
-    squares = p[f"+{name}"].take(own, 0)
+    first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+    return own.take(first).astype(np.intp), order, first
+
+
+def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each class; two numbers are added as one complex number, which halves numpy's calls."""
+    rows = rows.take(order, 0)
+    if rows.shape[1] % 2:
+        return np.add.reduceat(rows, first, axis=0)
+    return np.add.reduceat(rows.view(np.complex64), first, axis=0).view(np.float32)
+
+
+def _step(values: np.ndarray, squared: np.ndarray, own: np.ndarray, total: np.ndarray) -> None:
+    """Adagrad on the rows `own`, whose gradients are `total`."""
+    squares = squared.take(own, 0)
     squares += total * total
-    p[f"+{name}"][own] = squares
+    squared[own] = squares
     total *= np.float32(RATE)
-    total /= np.sqrt(squares)
-    p[name][own] += total
+    total /= np.sqrt(squares, out=squares)
+    total += values.take(own, 0)
+    values[own] = total
 
 
 def descend(p: dict[str, np.ndarray], before: np.ndarray, last: np.ndarray, target: np.ndarray, noise: np.ndarray, rng: np.random.Generator, touched: dict[str, np.ndarray]) -> None:
     """One pass of noise-contrastive estimation over tokens in random order; `noise` is shared by a batch.
 
-    `touched` counts how often each row was updated.
+    A batch holds far fewer classes than tokens, so what depends on the class of one position alone (its
+    product with m1 or m2, forth and back) is computed once a class.  `touched` counts how often each
+    row was updated.
     """
-    r, q, m1, m2, bias = (p[k] for k in PARTS)
-    n = len(noise)
-    cumulated, offset = np.cumsum(noise), (np.log(noise) + np.log(NOISE)).astype(np.float32)
-    half, rate, samples = np.float32(0.5), np.float32(RATE), []
-    for part in np.array_split(rng.permutation(len(target)), max(1, len(target) // BATCH)):
-        a, b, c = before.take(part), last.take(part), target.take(part)
-        drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE) * cumulated[-1], side="right"), n - 1)
-        samples.append(drawn)
-        both = np.concatenate([a, b])
-        rows, qc, qd = r.take(both, 0), q.take(c, 0), q.take(drawn, 0)
-        ra, rb = rows[: len(a)], rows[len(a) :]
-        context = ra @ m1.T
-        context += rb @ m2.T
+    r, m1, m2 = (p[k] for k in ("r", "m1", "m2"))
+    n, wide = len(noise), r.shape[1]
+    room = wide + 2 - wide % 2  # even, for _sums
+    offset = (np.log(noise) + np.log(NOISE)).astype(np.float32)
+
+    def widened(table: np.ndarray, column: np.ndarray | float) -> np.ndarray:
+        out = np.zeros((len(table), room), np.float32)
+        out[:, :wide], out[:, wide] = table, column
+        return out
+
+    # a bias is one more number of a word's vector, and 1 the one of its context
+    q, squared = widened(p["q"], p["bias"] - offset), widened(p["+q"], p["+bias"])
+    squared[:, wide + 1 :] = 1
+    tokens = np.zeros((len(target), 4), np.uint16)
+    for k, ids in enumerate((before, last, target)):
+        tokens[:, k] = ids
+    tokens = rng.permutation(tokens.view(np.uint64).ravel())
+    parts = np.array_split(tokens, max(1, len(target) // BATCH))
+    cumulated = np.cumsum(noise)
+    samples = np.minimum(np.searchsorted(cumulated, rng.random((len(parts), NOISE)) * cumulated[-1], side="right"), n - 1)
+    half, rate, place, seen = np.float32(0.5), np.float32(RATE), np.empty(n, np.intp), np.zeros(n, bool)
+    for part, drawn in zip(parts, samples):
+        short = np.ascontiguousarray(part.view(np.uint16).reshape(-1, 4).T)
+        a, b, c = short[:3].astype(np.intp)
+        (own_a, *of_a), (own_b, *of_b) = _sorted(short[0]), _sorted(short[1])
+        own_q, *of_q = _sorted(np.concatenate([short[2], drawn.astype(np.uint16)]))
+        ra, rb, qc, qd = r.take(own_a, 0), r.take(own_b, 0), q.take(c, 0), q.take(drawn, 0)
+        place[own_a] = np.arange(len(own_a))
+        context = widened(ra @ m1.T, 1).take(place.take(a), 0)
+        place[own_b] = np.arange(len(own_b))
+        context += widened(rb @ m2.T, 0).take(place.take(b), 0)
         # P(data) against NOISE noise samples a token; the normaliser is taken as 1
-        true = np.einsum("ij,ij->i", context, qc) + bias[c] - offset[c]
+        true = np.einsum("ij,ij->i", context, qc)
+        # logistic functions by tanh, which cannot overflow: those of the samples are (1 + tanh(score / 2)) / 2,
+        # whose two parts are multiplied apart
+        qd *= half
         false = context @ qd.T
-        false += bias[drawn] - offset[drawn]
-        # logistic functions by tanh, which cannot overflow
+        np.tanh(false, out=false)
         pull = half - half * np.tanh(half * true)
-        push = np.tanh(np.multiply(false, half, out=false), out=false)
-        push += np.float32(1)
-        push *= -half
-        g_context = push @ qd
-        g_context += np.multiply(pull[:, None], qc, out=qc)
-        at = np.concatenate([c, drawn])
-        g_m1, g_m2 = g_context.T @ ra, g_context.T @ rb
-        np.matmul(g_context, m1, out=ra)
-        np.matmul(g_context, m2, out=rb)
-        _rows(p, "q", at, np.concatenate([pull[:, None] * context, push.T @ context]))
-        g_bias = np.bincount(at, np.concatenate([pull, push.sum(axis=0)]), n).astype(np.float32)
-        p["+bias"] += g_bias**2
-        bias += rate * g_bias / np.sqrt(p["+bias"])
-        _rows(p, "r", both, rows)
-        for k, g in (("m1", g_m1), ("m2", g_m2)):
+        qc *= pull[:, None]
+        qc -= qd.sum(axis=0)
+        qc -= false @ qd
+        grads = np.empty((len(c) + NOISE, room), np.float32)
+        push = (context.T @ false).T
+        push += np.ones(len(c), np.float32) @ context
+        np.multiply(push, -half, out=grads[len(c) :])
+        np.multiply(context, pull[:, None], out=grads[: len(c)])
+        _step(q, squared, own_q, _sums(grads, *of_q))
+        sum_a, sum_b = _sums(qc, *of_a)[:, :wide], _sums(qc, *of_b)[:, :wide]
+        seen[own_a] = seen[own_b] = True
+        own = np.flatnonzero(seen)
+        seen[own] = False
+        place[own] = np.arange(len(own))
+        total = np.zeros((len(own), wide), np.float32)
+        total[place.take(own_a)] = sum_a @ m1
+        total[place.take(own_b)] += sum_b @ m2
+        _step(r, p["+r"], own, total)
+        for k, g in (("m1", sum_a.T @ ra), ("m2", sum_b.T @ rb)):
             p[f"+{k}"] += g**2
             p[k] += rate * g / np.sqrt(p[f"+{k}"])
-    touched["q"] += np.bincount(target, minlength=n) + np.bincount(np.concatenate(samples), minlength=n)
+    p["q"][:], p["bias"][:], p["+q"][:], p["+bias"][:] = q[:, :wide], q[:, wide] + offset, squared[:, :wide], squared[:, wide]
+    touched["q"] += np.bincount(target, minlength=n) + np.bincount(samples.ravel(), minlength=n)
     touched["r"] += np.bincount(before, minlength=n) + np.bincount(last, minlength=n)
 
 

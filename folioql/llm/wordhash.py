@@ -11,6 +11,7 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 LONG_WORD = 64
 #: Bytes of text that are taken together.
@@ -25,48 +26,63 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Powers:
-    """Powers of an odd multiplier and of its inverse, modulo 2^64."""
+#: Bytes that are hashed together; sums over them stay in the processor's cache.
+BLOCK = 1 << 15
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > GROUP_BYTES + 1024:  # a very long text: not kept
-            return self._made(n)
-        if len(self.up) < n:
-            self.up, self.down = self._made(GROUP_BYTES + 1024)
-        return self.up[:n], self.down[:n]
+def _powers(of: int, n: int) -> np.ndarray:
+    """The first powers of an odd number modulo 2^64."""
+    return np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(n, 1) - 1, of % (1 << 64), np.uint64))])
+
 
-    def _made(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        inverse = pow(MULTIPLIER, -1, 1 << 64)
-        return tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, m, np.uint64))]) for m in (MULTIPLIER, inverse))
+UP, DOWN = _powers(MULTIPLIER, BLOCK), _powers(pow(MULTIPLIER, -1, 1 << 64), BLOCK)
 
 
-_POWERS = _Powers()
+def _polynomials(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """For each word between two `edges`: the sum of (byte + 1) * MULTIPLIER^(place in the word), modulo 2^64."""
+    blocks = -(-len(data) // BLOCK)
+    up, down = _powers(pow(MULTIPLIER, BLOCK, 1 << 64), blocks), _powers(pow(MULTIPLIER, -BLOCK, 1 << 64), blocks)
+    total, sums, before, at = np.empty(len(edges), np.uint64), np.zeros(BLOCK + 1, np.uint64), np.zeros(1, np.uint64), 0
+    last = np.searchsorted(edges, np.arange(1, blocks + 1) * BLOCK, side="right")
+    for k in range(blocks):
+        part = data[k * BLOCK : (k + 1) * BLOCK]
+        inside = sums[1 : len(part) + 1]
+        np.add(part, np.uint64(1), out=inside)
+        inside *= UP[: len(part)]
+        np.cumsum(inside, out=inside)
+        total[at : last[k]] = sums[edges[at : last[k]] - k * BLOCK] * up[k] + before
+        before, at = before + inside[-1:] * up[k], last[k]
+    starts = edges[::2]
+    return (total[1::2] - total[::2]) * DOWN[starts % BLOCK] * down[starts // BLOCK]
 
 
 def long_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
+def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique with first places and inverse, by a hash table: only distinct values are sorted."""
+    coded = pa.array(values).dictionary_encode()
+    distinct, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(code), prepend=-1))  # codes are dealt in order of appearance
+    order = np.argsort(distinct)
+    rank = np.empty(len(order), np.intp)
+    rank[order] = np.arange(len(order))
+    return distinct[order], first[order], rank[code]
+
+
 class Words:
     """The words of some texts (bytes without their white space: 20 and 09-0D): hashes, starts and ends in `raw`."""
 
     def __init__(self, texts: Sequence[bytes]):
         self.raw = b"\n".join(texts)
         data = np.frombuffer(self.raw, np.uint8)
-        space = (data == 0x20) | ((data >= 9) & (data <= 13))
-        edges = np.flatnonzero(np.diff(np.concatenate([[1], space.view(np.int8), [1]])))
+        space = np.ones(len(data) + 2, bool)
+        np.logical_or(data == 0x20, data - np.uint8(9) < np.uint8(5), out=space[1:-1])
+        edges = np.flatnonzero(space[1:] != space[:-1])
         self.starts, self.ends = edges[::2], edges[1::2]
         self.lengths = self.ends - self.starts
-        up, down = _POWERS.of(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        sums = total[1:]  # in place: a long text is held few times over
-        np.add(data, np.uint64(1), out=sums)
-        sums *= up[:-1]
-        np.cumsum(sums, out=sums)
-        self.hashes = mix((total[self.ends] - total[self.starts]) * down[self.starts] + self.lengths.astype(np.uint64))
+        self.hashes = mix(_polynomials(data, edges) + self.lengths.astype(np.uint64))
         for k in np.flatnonzero(self.lengths > LONG_WORD):
             self.hashes[k] = long_hash(self.word(k))
         #: the first word of each text, and the end
@@ -91,10 +107,10 @@ class Words:
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the distinct words in order, a place and the signature of each, and the number of every word."""
         signs = self.signatures()
-        hashes, first, kinds = np.unique(self.hashes, return_index=True, return_inverse=True)
+        hashes, first, kinds = _unique(self.hashes)
         if (signs[first][kinds] != signs).any():  # two words of one hash
             self.hashes = np.array([long_hash(w) for w in self.words(np.arange(len(self)))], np.uint64)
-            hashes, first, kinds = np.unique(self.hashes, return_index=True, return_inverse=True)
+            hashes, first, kinds = _unique(self.hashes)
         return hashes, first, signs[first], kinds
 
 

@@ -1,6 +1,7 @@
 import os
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioql.llm import langid, licenses, lm, sharding
+from folioql.llm import langid, licenses, lm, sharding, wordhash
 
 
 # --- licences ---
@@ -224,6 +225,56 @@ def test_model_is_normalised_and_learns():
     assert np.exp(model.log_probabilities(np.array([1]), np.array([2]), np.array([3])))[0] > 0.8
 
 
+def test_a_training_step_is_the_plain_gradient():
+    """One batch, token by token in float64: the products that are shared by the tokens of a class change nothing."""
+    r, n, size = np.random.default_rng(5), 9, 300
+    before, last, target = r.integers(0, n, (3, size))
+    noise = lm.noise_of(np.bincount(target, minlength=n).astype(float))
+    for dimensions in (6, 5):
+        start = lm.start(noise * size, dimensions, seed=3)
+        got = {k: v.copy() for k, v in start.items()}
+        touched = {k: np.zeros(n) for k in "rq"}
+        lm.descend(got, before, last, target, noise, np.random.default_rng(8), touched)
+        rng = np.random.default_rng(8)
+        rng.permutation(np.zeros(size, np.uint64))
+        drawn = np.searchsorted(np.cumsum(noise), rng.random(lm.NOISE) * noise.sum(), side="right")
+        p = {k: v.astype(float) for k, v in start.items()}
+        g = {k: np.zeros_like(p[k]) for k in lm.PARTS}
+        for a, b, c in zip(before, last, target):
+            context, back = p["m1"] @ p["r"][a] + p["m2"] @ p["r"][b], np.zeros(dimensions)
+            for k, w in enumerate([c, *drawn]):
+                d = 1 / (1 + np.exp(-(context @ p["q"][w] + p["bias"][w] - np.log(lm.NOISE * noise[w]))))
+                pull = 1 - d if k == 0 else -d
+                g["q"][w] += pull * context
+                g["bias"][w] += pull
+                back += pull * p["q"][w]
+            g["r"][a] += p["m1"].T @ back
+            g["r"][b] += p["m2"].T @ back
+            g["m1"] += np.outer(back, p["r"][a])
+            g["m2"] += np.outer(back, p["r"][b])
+        for k in lm.PARTS:
+            squares = p[f"+{k}"] + g[k] ** 2
+            assert np.allclose(got[f"+{k}"], squares, rtol=2e-3, atol=1e-5) and np.allclose(got[k], p[k] + lm.RATE * g[k] / np.sqrt(squares), atol=2e-3), k
+        assert (touched["q"] == np.bincount(target, minlength=n) + np.bincount(drawn, minlength=n)).all()
+        assert (touched["r"] == np.bincount(before, minlength=n) + np.bincount(last, minlength=n)).all()
+
+
+def test_hashing_holds_a_text_few_times_over():
+    """Powers and sums of bytes are kept for a block, not for the whole group; the hashes are those of the definition."""
+    size = wordhash.GROUP_BYTES + 2000
+    text = (b"x" * 50 + b" ") * (size // 51)
+    wordhash.Words([b"warm up"])
+    tracemalloc.start()
+    words = wordhash.Words([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * size and len(np.unique(words.hashes)) == 1
+    odd = wordhash.Words([b"one " * 8192 + b"b" * 60, b"two\tthree", b""])
+    for k in (0, 8191, 8192, 8193, 8194):
+        plain = sum((byte + 1) * pow(wordhash.MULTIPLIER, i, 1 << 64) for i, byte in enumerate(odd.word(k))) + int(odd.lengths[k])
+        assert wordhash.mix(np.array([plain % (1 << 64)], np.uint64))[0] == odd.hashes[k]
+
+
 def words_of(text):
     return [*(text or "").encode().lower().split(), b""]  # the end last
 

@@ -447,14 +447,15 @@ class Planner:
                 replaced = [(call, (empty(call, F.col(f"{name}a{i}")), kind)) for i, (call, (_, kind)) in enumerate(zip(calls, planned))]
             else:
                 c, kind = rows.plan(item, own)
-                looked = inner.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(c).alias("_v"))
-                one = F.assert_true(F.col("_n") <= 1, "a scalar query gives more than one row")
-                looked = looked.select(*(f"{name}k{i}" for i in range(len(keys))), F.when(one.isNull(), F.col("_v")).alias(f"{name}a0"))
-                replaced = [(item, (F.col(f"{name}a0"), kind))]
+                looked = inner.groupBy(*keys).agg(F.first(c).alias(f"{name}a0"), F.count("*").alias(f"{name}n"))
+                # behind the join: a key of several rows is no error while no row of `df` asks for it
+                one = F.assert_true(F.coalesce(F.col(f"{name}n"), F.lit(0)) <= 1, "a scalar query gives more than one row")
+                replaced = [(item, (F.when(one.isNull(), F.col(f"{name}a0")), kind))]
             extra = looked.columns
             df = df.join(relational.lookup_side(looked, "left"), on, "left")
             value, kind = self.plan(item, Scope.of(df, replaced))
-            df = df.withColumn(name, value).drop(*extra)
+            # a generator keeps conditions on a value that may raise from being moved below the join
+            df = (df.withColumn(name, value) if calls else df.select("*", F.inline(F.array(F.struct(value.alias(name)))))).drop(*extra)
             found.append((node, (F.col(name), kind)))
         return df, found
 

@@ -122,6 +122,17 @@ def test_readings(engine, where):
     assert ids(engine, f"SELECT c.id FROM readings AS c WHERE {where}") == READING_IDS[where]
 
 
+def test_scalar_query_raises_only_for_rows_that_ask(engine):
+    """Two readings have value 5 and two have none, which no shipment asks for; ports are asked for."""
+    kind = "(SELECT r._MAP['kind'] FROM readings AS r WHERE r._MAP['value'] = s._MAP['tons'])"
+    assert ids(engine, f"SELECT s.id FROM shipments AS s WHERE {kind} = 'Plain'") == "g"
+    assert ids(engine, f"SELECT s.id FROM shipments AS s WHERE {kind} IS NULL") == "abcdefh"
+    peer = "(SELECT q.id FROM shipments AS q WHERE q.port = s.port)"
+    assert ids(engine, f"SELECT s.id FROM shipments AS s WHERE s.id = 'h' AND {peer} = 'h'") == "h"
+    with pytest.raises(Exception, match="more than one row"):
+        ids(engine, f"SELECT s.id FROM shipments AS s WHERE {peer} = 'a'")
+
+
 def test_grouping_puts_null_and_absent_together(engine):
     groups = [("oslo", 2), ("riga", 3), (7, 1), (None, 2)]
     assert sorted(rows(engine, "SELECT port, COUNT(*) FROM shipments GROUP BY port"), key=str) == sorted(groups, key=str)
